@@ -34,6 +34,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "mai
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in SQL_SETTINGS.items():
