@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle  # noqa: E402
-from maintlake.operators import quality  # noqa: E402
+from maintlake.operators import gold, quality  # noqa: E402
 from maintlake.operators.cdc import current_rows, merge_state, resolve_cdc  # noqa: E402
 from maintlake.operators.envelope import (  # noqa: E402
     envelope_report,
@@ -59,6 +59,17 @@ def cdc_action_state(t: binding.BoundTables) -> DataFrame:
     )
 
 
+def _entity_state(feed: str, entity_table: str) -> Callable[[binding.BoundTables], DataFrame]:
+    return lambda t: resolve_cdc(t(f"bronze.{feed}"), None, AFTER[entity_table])
+
+
+def backlog_from_feed(t: binding.BoundTables) -> DataFrame:
+    """Raw order and request events -> current state -> backlog, in one plan."""
+    orders = _entity_state("work_order", "work_order")(t)
+    requests = _entity_state("work_request", "work_request")(t)
+    return gold.work_order_backlog(orders, requests, t.stamp)
+
+
 def stream_latest_state(t: binding.BoundTables) -> DataFrame:
     """The event log as a stream, kept as state by key, read back as the current rows."""
     work = f"{shared_dir(t.spark)}/stream_latest_state/{os.urandom(8).hex()}"
@@ -201,6 +212,10 @@ def _builders() -> dict[str, Callable[[binding.BoundTables], DataFrame]]:
         "cdc_merge_incremental": cdc_merge_incremental,
         "cdc_merge_late": cdc_merge_late,
         "cdc_action_state": cdc_action_state,
+        "cdc_asset_state": _entity_state("registered_asset", "asset"),
+        "cdc_work_request_state": _entity_state("work_request", "work_request"),
+        "cdc_work_order_state": _entity_state("work_order", "work_order"),
+        "backlog_from_feed": backlog_from_feed,
         "stream_latest_state": stream_latest_state,
         "bronze_parse": bronze_parse,
         "bronze_route_counts": bronze_route_counts,
@@ -217,6 +232,8 @@ def _builders() -> dict[str, Callable[[binding.BoundTables], DataFrame]]:
         "replica_stage": replica_stage,
         "replica_bronze_asset": _replica_model("bronze_asset", ("payload_json",)),
         "replica_bronze_maintenance_action": _replica_model("bronze_maintenance_action", ("payload_json",)),
+        "replica_bronze_work_request": _replica_model("bronze_work_request", ("payload_json",)),
+        "replica_bronze_work_order": _replica_model("bronze_work_order", ("payload_json",)),
         "replica_gold_mtbf_metrics": replica_gold_mtbf_metrics,
         "replica_source_version": lambda t: replica.source_version(t("bronze.asset"), "event_ts"),
         "dq_keys": quality.key_report,
@@ -227,6 +244,9 @@ def _builders() -> dict[str, Callable[[binding.BoundTables], DataFrame]]:
         "dq_envelope": lambda t: envelope_report(_mixed_documents(t, with_actions=False)),
         "dq_creation": lambda t: quality.creation_report(t("bronze.asset"), "Asset", binding.ASSET_TIE),
         "dq_lifecycle": dq_lifecycle,
+        "dq_order_lifecycle": lambda t: quality.transition_report(
+            binding.work_order_events(t.raw("orders")).withColumnRenamed("id", "pk_id"), "work_order"
+        ),
         "dq_completed_actions": lambda t: quality.unfinished_actions(
             t("silver.work_order"), t("silver.maintenance_action")
         ),

@@ -136,34 +136,52 @@ def creation_report(events: DataFrame, entity: str, tie: Sequence[str] = ()) ->
 
 
 def with_previous(
-    events: DataFrame, key: str, ts: str, value: str, tie: Sequence[str] = (), bucket_chars: int = 13
+    events: DataFrame,
+    key: str,
+    ts: str,
+    value: str,
+    tie: Sequence[str] = (),
+    hot_rows: int = 10_000_000,
+    bucket_chars: int = 13,
 ) -> DataFrame:
     """Add ``previous``: ``value`` of the preceding event of the same key, in (ts, tie) order.
 
-    A plain ``lag`` over the key would put all events of a hot key into one task. Instead events are
-    grouped by key and time bucket (the first ``bucket_chars`` of the ISO text; 13 = one hour), which
-    spreads a hot key over as many tasks as it has hours. Only the first event of a bucket needs the
-    last value of the bucket before it, and that comes from a table of one row per key and bucket.
+    A plain ``lag`` would put all events of a key into one task. Keys with more than ``hot_rows``
+    events are therefore cut into time buckets (the first ``bucket_chars`` of the ISO text; 13 = one
+    hour), which are separate groups of the same window. Only the first event of a bucket then lacks
+    its predecessor, which is the last event of the bucket before; those come from one row per hot
+    key and bucket. Any other key is one group, as without the split.
+
+    The broadcast list of hot keys is bounded: it has at most rows / ``hot_rows`` entries. The table of
+    bucket ends has no such bound and is joined on the partitioning the window already made.
     """
-    bucket = F.substring(ts, 1, bucket_chars)
-    keyed = events.withColumn("bucket", bucket)
+    hot = (
+        events.groupBy(F.col(key).alias("hot_key"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter((F.col("n") > hot_rows) & F.col("hot_key").isNotNull())
+        .select("hot_key")
+    )
+    bucket = F.when(F.col("hot_key").isNotNull(), F.coalesce(F.substring(ts, 1, bucket_chars), F.lit("")))
+    marked = events.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").withColumn("bucket", bucket)
     inside = Window.partitionBy(key, "bucket").orderBy(ts, *tie)
-    local = keyed.withColumns(
+    local = marked.withColumns(
         {"previous": F.lag(value).over(inside), "first_in_bucket": F.row_number().over(inside) == 1}
     )
     across = Window.partitionBy("k").orderBy("b")
     carried = (
-        keyed.groupBy(F.col(key).alias("k"), F.col("bucket").alias("b"))
+        marked.filter(F.col("hot_key").isNotNull())
+        .groupBy(F.col("hot_key").alias("k"), F.col("bucket").alias("b"))
         .agg(F.max_by(value, F.struct(ts, *tie)).alias("last_value"))
         .withColumn("carried", F.lag("last_value").over(across))
         .filter(F.col("carried").isNotNull())
         .select("k", "b", "carried")
     )
-    match = F.col(key).eqNullSafe(F.col("k")) & F.col("bucket").eqNullSafe(F.col("b"))
+    # the window has already partitioned the events by these columns; a null bucket matches nothing
+    lookup = (F.col(key) == F.col("k")) & (F.col("bucket") == F.col("b")) & F.col("first_in_bucket")
     return (
-        local.join(carried, match, "left")
-        .withColumn("previous", F.when(F.col("first_in_bucket"), F.col("carried")).otherwise(F.col("previous")))
-        .drop("bucket", "first_in_bucket", "k", "b", "carried")
+        local.join(carried, lookup, "left")
+        .withColumn("previous", F.coalesce("previous", "carried"))
+        .drop("hot_key", "bucket", "first_in_bucket", "k", "b", "carried")
     )
 
 

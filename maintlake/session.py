@@ -28,7 +28,9 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "maintlake") -> SparkSession:
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, app: str = "maintlake", settings: dict[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and the bench."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -37,7 +39,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "mai
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in SQL_SETTINGS.items():
+    for key, value in {**SQL_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -16,6 +16,7 @@ from maintlake.functions.timestamps import iso_date, iso_utc
 from maintlake.operators import concepts, gold
 from maintlake.operators.envelope import envelope_json
 from maintlake.operators.latest import latest_per_key
+from maintlake.schemas import AFTER
 
 SYSTEM = "driver"
 RUN_STAMP = "2002-01-01T00:00:00+00:00"
@@ -147,19 +148,12 @@ def maintenance_action(lineitem: DataFrame) -> DataFrame:
 
 
 def action_events(lineitem: DataFrame) -> DataFrame:
-    """Line items as change events: the first of a key creates it, returned ones delete it.
-
-    First rows are found by aggregation and a join rather than a window, so that a key with very
-    many line items is not read by one task.
-    """
-    key = ["l_orderkey", "l_linenumber"]
-    when = F.struct("l_shipdate", *ACTION_TIE)
-    first = lineitem.groupBy(*key).agg(F.min(when).alias("first"))
-    op = F.when(when == F.col("first"), "c").when(F.col("l_returnflag") == "R", "d").otherwise("u")
-    return (
-        lineitem.join(first, key)
-        .withColumn("op", op)
-        .select("op", iso_utc("l_shipdate").alias("event_ts"), *ACTION_TIE, *_action_columns())
+    """Line items as change events: the return flag says create, update or delete."""
+    return lineitem.select(
+        _case("l_returnflag", {"A": "c", "N": "u", "R": "d"}).alias("op"),
+        iso_utc("l_shipdate").alias("event_ts"),
+        *ACTION_TIE,
+        *_action_columns(),
     )
 
 
@@ -167,19 +161,71 @@ def _live(op: Column, c: str) -> Column:
     return F.when(op != "d", F.col(c)).alias(c)
 
 
-def action_feed(lineitem: DataFrame) -> DataFrame:
-    """``action_events`` as Bronze rows plus the tie-break columns."""
-    names = ["id", "work_order_id", "step_number", "description", "status", "started_at", "completed_at"]
-    after = F.struct(*[_live(F.col("op"), n) for n in names])
-    return action_events(lineitem).select(
-        F.lit("MaintenanceAction").alias("entity"),
+def _feed(events: DataFrame, entity: str, columns: list[str], tie: tuple[str, ...] = ()) -> DataFrame:
+    """Change events (id, op, event_ts, tie and the columns of the after image) -> Bronze rows and tie."""
+    after = F.struct(*[_live(F.col("op"), n) for n in columns])
+    return events.select(
+        F.lit(entity).alias("entity"),
         "op",
         "event_ts",
         F.col("id").alias("pk_id"),
-        envelope_json("MaintenanceAction", F.col("op"), F.col("event_ts"), F.col("id"), after).alias("payload_json"),
+        envelope_json(entity, F.col("op"), F.col("event_ts"), F.col("id"), after).alias("payload_json"),
         iso_date("event_ts").alias("event_date"),
         F.lit(SYSTEM).alias("source_system"),
-        *ACTION_TIE,
+        *tie,
+    )
+
+
+def action_feed(lineitem: DataFrame) -> DataFrame:
+    """``action_events`` as Bronze rows plus the tie-break columns."""
+    return _feed(action_events(lineitem), "MaintenanceAction", AFTER["maintenance_action"].names, ACTION_TIE)
+
+
+def _lifecycle(final: DataFrame, path: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Final rows -> one event per status on the way there, a minute apart."""
+    steps = F.lit(None).cast("array<string>")
+    for status, way in path.items():
+        steps = F.when(F.col("status") == status, F.array(*[F.lit(s) for s in way])).otherwise(steps)
+    minute = F.concat(F.substring("updated_at", 1, 14), F.lpad(F.col("step").cast("string"), 2, "0"))
+    return (
+        final.select("*", F.posexplode(steps).alias("step", "reached"))
+        .withColumns(
+            {
+                "op": F.when(F.col("step") == 0, "c").otherwise("u"),
+                "event_ts": F.concat(minute, F.substring("updated_at", 17, 16)),
+                "status": F.col("reached"),
+            }
+        )
+        .withColumn("updated_at", F.col("event_ts"))
+    )
+
+
+def asset_events(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    return _lifecycle(
+        asset(customer, nation),
+        {
+            "operational": ("operational",),
+            "degraded": ("operational", "degraded"),
+            "failed": ("operational", "failed"),
+        },
+    )
+
+
+def work_request_events(orders: DataFrame) -> DataFrame:
+    return _lifecycle(
+        work_request(orders),
+        {"open": ("open",), "approved": ("open", "approved"), "closed": ("open", "approved", "closed")},
+    )
+
+
+def work_order_events(orders: DataFrame) -> DataFrame:
+    return _lifecycle(
+        work_order(orders),
+        {
+            "planned": ("planned",),
+            "in_progress": ("planned", "in_progress"),
+            "completed": ("planned", "in_progress", "completed"),
+        },
     )
 
 
@@ -247,6 +293,13 @@ class BoundTables:
         return {
             "asset": lambda: asset_feed(self.raw("events")),
             "maintenance_action": lambda: action_feed(self.raw("lineitem")),
+            "work_request": lambda: _feed(
+                work_request_events(self.raw("orders")), "WorkRequest", AFTER["work_request"].names
+            ),
+            "work_order": lambda: _feed(work_order_events(self.raw("orders")), "WorkOrder", AFTER["work_order"].names),
+            "registered_asset": lambda: _feed(
+                asset_events(self.raw("customer"), self.raw("nation")), "Asset", AFTER["asset"].names
+            ),
         }
 
     @cached_property

@@ -46,9 +46,7 @@ CTES = {
         'c' AS last_op, {_iso('o_orderdate')} AS last_event_ts, o_orderdate
         FROM orders""",
     "feed": f"""SELECT *, 'MA' || l_orderkey || '-' || l_linenumber AS pk_id, {_iso('l_shipdate')} AS event_ts,
-        CASE WHEN row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                  ORDER BY l_shipdate, l_partkey, l_suppkey) = 1 THEN 'c'
-             WHEN l_returnflag = 'R' THEN 'd' ELSE 'u' END AS op,
+        CASE l_returnflag WHEN 'A' THEN 'c' WHEN 'N' THEN 'u' WHEN 'R' THEN 'd' END AS op,
         CASE WHEN l_linestatus = 'F' THEN 'completed' ELSE 'pending' END AS status,
         row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                   ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS age
@@ -193,12 +191,25 @@ def _filled(layer: str, entity: str, cte: str, cols: str) -> str:
     return f"SELECT '{layer}' AS layer, '{entity}' AS entity_type, count(*) AS total_records, {parts} FROM {cte}"
 
 
+# time of the last lifecycle event of an order: one minute per status reached
+_LAST_STEP = """strftime(updated_at[1:26]::TIMESTAMP + to_minutes(CASE status WHEN 'planned' THEN 0 WHEN 'open' THEN 0
+    WHEN 'in_progress' THEN 1 WHEN 'approved' THEN 1 ELSE 2 END), '%Y-%m-%dT%H:%M:%S.%f+00:00')"""
+
+
 def _union(*parts: str) -> str:
     return " UNION ALL ".join(parts)
 
 
 _GA_JOIN = "FROM asset a LEFT JOIN ga ON ga.asset_id = a.id"
 
+def _order_feed(cte: str, entity: str, first: str, second: str) -> str:
+    return f"""SELECT '{entity}' AS entity, CASE step WHEN 0 THEN 'c' ELSE 'u' END AS op,
+        strftime(updated_at[1:26]::TIMESTAMP + to_minutes(step), '%Y-%m-%dT%H:%M:%S.%f+00:00') AS event_ts, id AS pk_id,
+        substr(updated_at, 1, 10) AS event_date, 'driver' AS source_system, '{STAMP}' AS dbt_loaded_at
+        FROM {cte}, (VALUES (0), (1), (2)) s(step)
+        WHERE step <= CASE status WHEN '{first}' THEN 0 WHEN '{second}' THEN 1 ELSE 2 END"""
+
+
 QUERIES: dict[str, str] = {
     # --- change data ------------------------------------------------------------------------------
     "cdc_latest_state": _STATE,
@@ -211,6 +222,16 @@ QUERIES: dict[str, str] = {
         CASE WHEN l_linestatus = 'F' THEN {_iso('l_shipdate + to_minutes(l_quantity::INT)')} ELSE '' END AS completed_at,
         'driver' AS source_system, pk_id AS source_id, op AS last_op, event_ts AS last_event_ts
         FROM feed WHERE age = 1 AND op <> 'd'""",
+    "cdc_asset_state": """SELECT * REPLACE (CASE WHEN status = 'operational' THEN updated_at
+            ELSE '1995-01-01T00:01:00.000000+00:00' END AS updated_at,
+        CASE WHEN status = 'operational' THEN 'c' ELSE 'u' END AS last_op,
+        CASE WHEN status = 'operational' THEN updated_at ELSE '1995-01-01T00:01:00.000000+00:00' END AS last_event_ts)
+        FROM asset""",
+    "cdc_work_request_state": f"""SELECT * REPLACE ({_LAST_STEP} AS updated_at, {_LAST_STEP} AS last_event_ts,
+        CASE status WHEN 'open' THEN 'c' ELSE 'u' END AS last_op) FROM wr""",
+    "cdc_work_order_state": f"""SELECT * EXCLUDE (o_orderdate) REPLACE ({_LAST_STEP} AS updated_at,
+        {_LAST_STEP} AS last_event_ts, CASE status WHEN 'planned' THEN 'c' ELSE 'u' END AS last_op) FROM wo""",
+    "backlog_from_feed": "SELECT * FROM backlog",
     "bronze_parse": """SELECT event_id, 'Asset' AS entity, op, event_ts, pk_id, substr(event_ts, 1, 10) AS event_date,
         'driver' AS source_system FROM ev""",
     "bronze_route_counts": """SELECT route, reject_reason, count(*) AS events FROM (
@@ -407,6 +428,8 @@ QUERIES: dict[str, str] = {
         'driver' AS source_system, '{STAMP}' AS dbt_loaded_at FROM ev""",
     "replica_bronze_maintenance_action": f"""SELECT 'MaintenanceAction' AS entity, op, event_ts, pk_id,
         substr(event_ts, 1, 10) AS event_date, 'driver' AS source_system, '{STAMP}' AS dbt_loaded_at FROM feed""",
+    "replica_bronze_work_request": _order_feed("wr", "WorkRequest", "open", "approved"),
+    "replica_bronze_work_order": _order_feed("wo", "WorkOrder", "planned", "in_progress"),
     "replica_silver_asset": _model("asset", f"id name asset_type location status install_date updated_at {_S}"),
     "replica_silver_work_request": _model(
         "wr", f"id asset_id description priority status reported_at updated_at {_S}"),
@@ -474,6 +497,9 @@ QUERIES: dict[str, str] = {
         FROM (SELECT lag(live) OVER (PARTITION BY pk_id ORDER BY event_ts, l_partkey, l_suppkey) AS from_status,
               live AS to_status FROM (SELECT *, CASE WHEN op <> 'd' THEN status END AS live FROM feed))
         WHERE from_status <> to_status GROUP BY from_status, to_status""",
+    "dq_order_lifecycle": """SELECT * FROM (SELECT 'planned' AS from_status, 'in_progress' AS to_status,
+        count(*) AS changes, true AS allowed FROM wo WHERE status <> 'planned'
+        UNION ALL SELECT 'in_progress', 'completed', count(*), true FROM wo WHERE status = 'completed')""",
     "dq_completed_actions": """SELECT count(DISTINCT wo.id) AS completed_orders,
         count(DISTINCT CASE WHEN ma.status <> 'completed' THEN wo.id END) AS with_unfinished_actions,
         count(*) FILTER (ma.status <> 'completed') AS unfinished_actions
