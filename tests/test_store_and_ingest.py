@@ -1,0 +1,197 @@
+import json
+
+import pytest
+
+from conftest import as_dicts, asset_image, document
+from maintlake.plans.refresh import (
+    merge_entity,
+    merge_entity_incremental,
+    refresh_all,
+    refresh_order,
+    refresh_table,
+)
+from maintlake.schemas import LINEAGE, TABLES
+from maintlake.sources.feed import json_lines, json_lines_stream, write_json_lines
+from maintlake.sources.tables import EVENT_LOG
+from maintlake.streaming.ingest import ingest_available, ingest_batch, without_repeats
+
+T = "2024-01-15T{:02d}:00:00+00:00".format
+
+
+def write_lines(folder, name, *documents):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(documents) + "\n")
+
+
+def test_reading_a_table_nobody_wrote_gives_its_schema(store):
+    df = store("silver.asset")
+    assert df.isEmpty() and df.schema == TABLES["silver.asset"]
+    assert store.version("silver.asset") == "unknown"
+    with pytest.raises(ValueError):
+        store("silver.nonsense")
+
+
+def test_create_keeps_existing_content(store):
+    store.create("gold.mtbf_metrics")
+    assert store("gold.mtbf_metrics").isEmpty()
+    store.publish("gold.mtbf_metrics", store.spark.range(3).selectExpr("CAST(id AS STRING) AS type"))
+    store.create("gold.mtbf_metrics")
+    assert store("gold.mtbf_metrics").count() == 3
+
+
+def test_publish_replaces_the_table_it_reads(store):
+    assert store.publish("silver.t", store.spark.range(5)) == 5
+    before = store.version("silver.t")
+    assert store.publish("silver.t", store("silver.t").filter("id > 1")) == 3
+    assert store("silver.t").count() == 3
+    assert store.version("silver.t") > before
+
+
+def test_a_reader_of_the_previous_version_is_not_disturbed(store):
+    store.publish("silver.t", store.spark.range(5))
+    reader = store("silver.t")
+    store.publish("silver.t", store.spark.range(2))
+    assert reader.count() == 5 and store("silver.t").count() == 2
+
+
+def test_old_versions_go(store):
+    for n in range(5):
+        store.publish("silver.t", store.spark.range(n))
+    assert len(store._versions("silver.t")) == store.keep_versions
+    assert store.list_tables("silver") == ["silver.t"]
+    assert store.list_tables("nowhere") == []
+
+
+def test_ingest_routes_events_and_quarantines_the_rest(store, tmp_path):
+    feed = tmp_path / "feed"
+    write_lines(feed, "1.json", document(after=asset_image()), document("WorkOrder", pk="w"), "{bad", document("Vehicle"))
+    assert ingest_available(store, json_lines_stream(store.spark, str(feed)), checkpoint=str(tmp_path / "cp")) == 4
+    assert {k: df.count() for k, df in store.read_all_bronze().items()} == {
+        "asset": 1, "work_request": 0, "work_order": 1, "maintenance_action": 0,
+    }
+    assert store("bronze.asset").schema.names == TABLES["bronze.asset"].names
+    reasons = {r["reject_reason"] for r in as_dicts(store.spark.table("bronze.quarantine"))}
+    assert reasons == {"malformed_json", "unknown_entity"}
+
+
+def test_ingest_goes_on_where_it_ended(store, tmp_path):
+    feed, checkpoint = tmp_path / "feed", str(tmp_path / "cp")
+    stream = lambda: json_lines_stream(store.spark, str(feed), max_files_per_trigger=1)
+    write_lines(feed, "1.json", document(pk="a1"))
+    write_lines(feed, "2.json", document(pk="a2"), document(pk="a3"))
+    assert ingest_available(store, stream(), checkpoint=checkpoint) == 3
+    assert ingest_available(store, stream(), checkpoint=checkpoint) == 0
+    write_lines(feed, "3.json", document(pk="a4"))
+    assert ingest_available(store, stream(), checkpoint=checkpoint) == 1
+    assert store("bronze.asset").count() == 4
+
+
+def test_a_repeated_load_is_stored_once(store):
+    raw = store.spark.createDataFrame([(document(pk="a1"),), (document(pk="a2"),)], "value string")
+    assert ingest_batch(store, raw, "load-1") == 2
+    assert ingest_batch(store, raw, "load-1") == 2
+    ingest_batch(store, raw.limit(1), "load-2")
+    assert store("bronze.asset").count() == 3
+
+
+def test_raw_events_are_pruned_by_entity_and_date(store):
+    raw = store.spark.createDataFrame(
+        [(document(pk="a1"),), (document(pk="a2", ts="2024-02-01T00:00:00+00:00"),), (document("WorkOrder"),)], "value string"
+    )
+    ingest_batch(store, raw, "load-1")
+    df = store("bronze.asset").filter("event_date = '2024-02-01'")
+    assert [r["pk_id"] for r in as_dicts(df)] == ["a2"]
+    assert len(df.inputFiles()) >= 1
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "event_date" in plan.split("PartitionFilters")[1]
+
+
+def test_redeliveries_within_the_delay_are_dropped(store, tmp_path):
+    feed = tmp_path / "feed"
+    write_lines(feed, "1.json", document(pk="a1"), document(pk="a1"), document(pk="a2"))
+    stream = without_repeats(json_lines_stream(store.spark, str(feed)))
+    assert ingest_available(store, stream, checkpoint=str(tmp_path / "cp")) == 2
+
+
+def test_feed_files_round_trip(store, tmp_path):
+    raw = store.spark.createDataFrame([(document(pk="a1"),), (document("WorkOrder", pk="w1"),)], "value string")
+    ingest_batch(store, raw, "load-1")
+    write_json_lines(store.spark.table(EVENT_LOG), str(tmp_path / "out"))
+    back = {json.loads(r["value"])["pk"]["id"] for r in as_dicts(json_lines(store.spark, str(tmp_path / "out" / "*")))}
+    assert back == {"a1", "w1"}
+
+
+def lifecycle():
+    """One asset fails, is repaired by a request and an order with two actions."""
+    wr = {"id": "r1", "asset_id": "a001", "description": "leak", "priority": "high", "reported_at": T(9)}
+    wo = {"id": "o1", "work_request_id": "r1", "asset_id": "a001", "planned_start": T(10), "actual_start": "", "actual_end": ""}
+    open_order = {"id": "o2", "work_request_id": "r1", "asset_id": "a001", "status": "planned", "planned_start": T(12)}
+    done = {**wo, "status": "completed", "actual_start": T(11), "actual_end": T(13)}
+    action = {"work_order_id": "o1", "status": "completed", "started_at": T(11), "completed_at": T(12)}
+    return [
+        document(after=asset_image(), ts=T(8)),
+        document(op="u", after=asset_image(status="failed"), ts=T(9)),
+        document("WorkRequest", pk="r1", after={**wr, "status": "open"}, ts=T(9)),
+        document("WorkOrder", pk="o1", after={**wo, "status": "planned"}, ts=T(10)),
+        document("WorkOrder", op="u", pk="o1", after=done, ts=T(13)),
+        document("WorkOrder", pk="o2", after=open_order, ts=T(10)),
+        document("MaintenanceAction", pk="m1", after={"id": "m1", "step_number": 1, **action}, ts=T(11)),
+        document("MaintenanceAction", pk="m2", after={"id": "m2", "step_number": 2, **action}, ts=T(11)),
+    ]
+
+
+def test_refresh_follows_the_declared_dependencies():
+    order = refresh_order()
+    assert sorted(order) == sorted(LINEAGE)
+    for name, sources in LINEAGE.items():
+        assert all(order.index(s) < order.index(name) for s in sources if s in order)
+
+
+def test_refresh_builds_every_layer(store):
+    raw = store.spark.createDataFrame([(d,) for d in lifecycle()], "value string")
+    ingest_batch(store, raw, "load-1")
+    counts = refresh_all(store, T(20))
+    assert counts == {
+        "silver.asset": 1, "silver.work_request": 1, "silver.work_order": 2, "silver.maintenance_action": 2,
+        "silver_s5000f.product_instance": 1, "silver_s5000f.functional_failure": 1, "silver_s5000f.maintenance_task": 2,
+        "silver_s5000f.maintenance_task_step": 2, "silver_s5000f.maintenance_event": 1,
+        "gold.asset_availability": 1, "gold.maintenance_history": 1, "gold.work_order_backlog": 1, "gold.mtbf_metrics": 1,
+        "gold.asset_maintenance_summary": 1, "gold.asset_mtbf_days": 1, "gold.backlog_detail": 1,
+    }
+    (backlog,) = as_dicts(store("gold.work_order_backlog"))
+    assert (backlog["priority"], backlog["open_count"], backlog["computed_at"]) == ("high", 1, T(20))
+    assert as_dicts(store("gold.maintenance_history"))[0]["total_actions"] == 2
+    for name in counts:
+        found = [(f.name, f.dataType) for f in store(name).schema]
+        assert found == [(f.name, f.dataType) for f in TABLES[name].fields], name
+    assert refresh_all(store, T(20)) == counts
+
+
+def test_an_empty_result_replaces_a_stale_one(store):
+    raw = store.spark.createDataFrame([(d,) for d in lifecycle()], "value string")
+    ingest_batch(store, raw, "load-1")
+    refresh_all(store, T(20))
+    closing = document("WorkOrder", op="d", pk="o2", ts=T(14))
+    ingest_batch(store, store.spark.createDataFrame([(closing,)], "value string"), "load-2")
+    assert merge_entity(store, "work_order") == 1
+    assert refresh_table(store, "gold.work_order_backlog", T(21)) == 0
+    assert store("gold.work_order_backlog").isEmpty()
+
+
+def test_merging_without_a_log_does_nothing(store):
+    assert merge_entity(store, "asset") == 0
+    assert not store.exists("silver.asset")
+
+
+def test_loads_fold_into_the_state_in_any_order(store):
+    create = document(after=asset_image(), ts=T(8))
+    fail = document(op="u", after=asset_image(status="failed"), ts=T(9))
+    delete_other = document(op="d", pk="a002", ts=T(9))
+    late_other = document(op="u", pk="a002", after=asset_image("a002"), ts=T(8))
+    for load, documents in {"l1": [create, late_other], "l2": [fail, delete_other]}.items():
+        ingest_batch(store, store.spark.createDataFrame([(d,) for d in documents], "value string"), load)
+    assert merge_entity_incremental(store, "asset", ["l2"]) == 1
+    assert merge_entity_incremental(store, "asset", ["l1"]) == 1
+    assert merge_entity_incremental(store, "asset", ["l1"]) == 1
+    (row,) = as_dicts(store("silver.asset"))
+    assert (row["id"], row["status"]) == ("a001", "failed")
