@@ -26,9 +26,14 @@ def concept_id(concept: str, source_id: Column | str, null_id: str = "hash") ->
     ``null_id="null"`` gives null instead.
     """
     key = F.col(source_id) if isinstance(source_id, str) else source_id
-    if null_id == "hash":
-        key = F.coalesce(key, F.lit("None"))
-    elif null_id != "null":
+
+    def identify(known: Column) -> Column:
+        digest = F.sha2(F.concat(F.lit(f"{concept}:"), known), 256)
+        return F.concat(F.lit(f"{concept_prefix(concept)}-"), F.substring(digest, 1, HASH_CHARS))
+
+    if null_id == "null":
+        return identify(key)
+    if null_id != "hash":
         raise ValueError("null_id must be 'hash' or 'null'")
-    digest = F.sha2(F.concat(F.lit(f"{concept}:"), key), 256)
-    return F.concat(F.lit(f"{concept_prefix(concept)}-"), F.substring(digest, 1, HASH_CHARS))
+    # never null, and saying so spares joins on identifiers a null check that would hash again
+    return F.coalesce(identify(F.coalesce(key, F.lit("None"))), F.lit(""))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from maintlake.functions.measures import mtbf_proxy_hours, ratio, total
 from maintlake.functions.timestamps import blank_to_null, days_between, iso_date
+from maintlake.operators.joins import left_lookup
 from maintlake.schemas import GOLD
 
 OPEN_STATUSES = ("planned", "in_progress")
@@ -55,16 +56,11 @@ def open_orders(work_order: DataFrame) -> DataFrame:
 
 
 def with_priority(work_order: DataFrame, work_request: DataFrame | None) -> DataFrame:
-    """Priority of the request behind each order: null if it dangles, 'unknown' without any requests table.
-
-    Orders without a request id match nothing; they are spread by their own id instead of meeting in
-    one task, and the second condition keeps that id from matching by accident.
-    """
+    """Priority of the request behind each order: null if it dangles, 'unknown' without any requests table."""
     if work_request is None:
         return work_order.withColumn("priority", F.lit("unknown"))
     requests = work_request.select(F.col("id").alias("request_id"), "priority")
-    link = F.coalesce("work_request_id", "id") == F.col("request_id")
-    return work_order.join(requests, link & F.col("work_request_id").isNotNull(), "left").drop("request_id")
+    return left_lookup(work_order, requests, "work_request_id", "request_id", spread="id")
 
 
 def work_order_backlog(work_order: DataFrame, work_request: DataFrame | None, computed_at: str) -> DataFrame:

@@ -3,8 +3,9 @@
 Each takes ``tables`` (a table name -> DataFrame) and returns a lazy result. Facts are aggregated by
 their own key before they are joined, so that no join multiplies rows and a hot asset or work order
 enters it once; keys of the layer tables are unique, which makes the counts equal to distinct counts
-over the joined rows. Where only the first rows are asked for, the ranking is decided on the small
-side first and the large tables are filtered by the few keys left.
+over the joined rows. Where only the first rows are asked for, the ranking is decided first, from the
+columns it needs; its few rows are settled, and the large tables are filtered by their keys while
+they are scanned.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from maintlake.functions.measures import completeness, percent, ratio, total
 from maintlake.functions.timestamps import blank_to_null, days_between, minutes_between
+from maintlake.operators.gold import OPEN_STATUSES, open_orders
+from maintlake.operators.joins import left_lookup, settle
 from maintlake.plans.lakehouse import EXAMPLES, Lakehouse
 from maintlake.schemas import TABLES
 
@@ -80,6 +83,19 @@ def _failure_text(tables: Tables) -> DataFrame:
     )
 
 
+def _requests(tables: Tables, *columns: str) -> DataFrame:
+    return tables("silver.work_request").select(F.col("id").alias("request_id"), *columns)
+
+
+def _asset_names(tables: Tables) -> DataFrame:
+    return tables("silver.asset").select(F.col("id").alias("asset_id"), F.col("name").alias("asset_name"), "asset_type")
+
+
+def _matching(table: DataFrame, key: str, few: DataFrame, few_key: str) -> DataFrame:
+    """Rows of a table that a few settled rows refer to."""
+    return table.join(few.select(F.col(few_key).alias(key)), key, "left_semi")
+
+
 def _round(c: Column) -> Column:
     return F.round(c, 6)
 
@@ -146,27 +162,19 @@ def n08(tables: Tables) -> DataFrame:
 
 def _latest_finished(tables: Tables, n: int) -> DataFrame:
     """The ``n`` most recently finished orders of known assets, with the asset."""
-    a = tables("silver.asset").select(F.col("id").alias("asset_id"), F.col("name").alias("asset_name"), "asset_type")
     done = (
         tables("silver.work_order")
         .filter(F.col("status") == "completed")
         .select("id", "asset_id", "work_request_id", "status", "actual_end")
     )
-    return done.join(a, "asset_id").orderBy(F.desc("actual_end"), "id").limit(n)
+    return settle(done.join(_asset_names(tables), "asset_id").orderBy(F.desc("actual_end"), "id").limit(n))
 
 
 def _described_orders(few: DataFrame, tables: Tables) -> DataFrame:
-    """Request text, priority and action totals of a few orders, reading only matching facts."""
-    wanted_requests = few.select(F.col("work_request_id").alias("request_id"))
-    requests = _renamed(
-        tables("silver.work_request"),
-        request_id="id", description="description", priority="priority", reported_at="reported_at",
-    ).join(wanted_requests, "request_id", "left_semi")
-    wanted_orders = few.select(F.col("id").alias("work_order_id"))
-    actions = tables("silver.maintenance_action").join(wanted_orders, "work_order_id", "left_semi")
-    return _orders_with_actions(
-        few.join(requests, F.col("work_request_id") == F.col("request_id"), "left"), actions
-    )
+    """Request text, priority and action totals of a few orders."""
+    requests = _matching(_requests(tables, "description", "priority", "reported_at"), "request_id", few, "work_request_id")
+    actions = _matching(tables("silver.maintenance_action"), "work_order_id", few, "id")
+    return _orders_with_actions(left_lookup(few, requests, "work_request_id", "request_id", spread="id"), actions)
 
 
 def n10(tables: Tables) -> DataFrame:
@@ -193,9 +201,9 @@ def n10(tables: Tables) -> DataFrame:
 def n11(tables: Tables) -> DataFrame:
     """Maintenance frequency by asset type."""
     done = tables("silver.work_order").filter(F.col("status") == "completed")
-    requests = _renamed(tables("silver.work_request"), request_id="id", reported_at="reported_at")
-    linked = done.select("id", "asset_id", "work_request_id", "actual_end").join(
-        requests, F.col("work_request_id") == F.col("request_id"), "left"
+    linked = left_lookup(
+        done.select("id", "asset_id", "work_request_id", "actual_end"),
+        _requests(tables, "reported_at"), "work_request_id", "request_id", spread="id",
     )
     per_asset = (
         _orders_with_actions(linked, tables("silver.maintenance_action"))
@@ -232,8 +240,7 @@ def n12(tables: Tables) -> DataFrame:
     """
     state = F.col("status")
     orders = tables("silver.work_order").select("id", "asset_id", "status")
-    a = tables("silver.asset").select(F.col("id").alias("asset_id"), F.col("name").alias("asset_name"), "asset_type")
-    ranked = (
+    ranked = settle(
         orders.groupBy("asset_id")
         .agg(
             F.count("id").alias("orders"),
@@ -242,13 +249,12 @@ def n12(tables: Tables) -> DataFrame:
             F.count_if(state == "completed").alias("completed_work_orders"),
         )
         .filter(F.col("orders") > 0)
-        .join(a, "asset_id")
+        .join(_asset_names(tables), "asset_id")
         .orderBy(F.desc("open_work_orders"), F.desc("completed_work_orders"), "asset_id")
         .limit(10)
     )
-    theirs = orders.join(ranked.select("asset_id"), "asset_id", "left_semi")
     actions = (
-        _orders_with_actions(theirs, tables("silver.maintenance_action"))
+        _orders_with_actions(_matching(orders, "asset_id", ranked, "asset_id"), tables("silver.maintenance_action"))
         .groupBy("asset_id")
         .agg(
             total("actions").alias("total_maintenance_actions"),
@@ -273,13 +279,10 @@ def n12(tables: Tables) -> DataFrame:
 
 def n13(tables: Tables, as_of: str = AS_OF) -> DataFrame:
     """Backlog by asset type: size, age since the request and split by priority."""
-    requests = _renamed(tables("silver.work_request"), request_id="id", priority="priority", reported_at="reported_at")
     age = days_between("reported_at", F.lit(as_of))
+    waiting = open_orders(tables("silver.work_order")).select("id", "asset_id", "work_request_id")
     per_asset = (
-        tables("silver.work_order")
-        .filter(F.col("status").isin("planned", "in_progress"))
-        .select("id", "asset_id", "work_request_id")
-        .join(requests, F.col("work_request_id") == F.col("request_id"), "left")
+        left_lookup(waiting, _requests(tables, "priority", "reported_at"), "work_request_id", "request_id", spread="id")
         .groupBy("asset_id")
         .agg(
             F.count("id").alias("orders"),
@@ -317,36 +320,47 @@ def execution_status(start: Column, end: Column) -> Column:
 def n15(tables: Tables) -> DataFrame:
     """Lifecycle view: instance, task, event, step; first 15 rows.
 
-    Left joins keep every instance, so the first 15 rows belong to the first 15 instances at most.
+    Left joins keep every row on their left, so the first 15 rows belong to the first 15 instances,
+    and of their tasks to the first 15.
     """
-    few = (
+    first_instances = settle(
         tables("silver_s5000f.product_instance")
         .select("product_instance_id", "name", "type", "location", "operational_status")
         .orderBy("product_instance_id")
         .limit(15)
     )
-    tasks = (
-        tables("silver_s5000f.maintenance_task")
-        .select("maintenance_task_id", "product_instance_id", "functional_failure_id", "planned_start", "planned_end")
-        .join(few.select("product_instance_id"), "product_instance_id", "left_semi")
-        .join(_failure_text(tables), "functional_failure_id", "left")
+    tasks = _matching(
+        tables("silver_s5000f.maintenance_task").select(
+            "maintenance_task_id", "product_instance_id", "functional_failure_id", "planned_start", "planned_end"
+        ),
+        "product_instance_id", first_instances, "product_instance_id",
     )
-    events = tables("silver_s5000f.maintenance_event").select(
-        "maintenance_event_id", "maintenance_task_id", "actual_start", "actual_end"
+    few = settle(
+        first_instances.join(tasks, "product_instance_id", "left")
+        .orderBy("product_instance_id", "planned_start", "maintenance_task_id")
+        .limit(15)
     )
-    steps = tables("silver_s5000f.maintenance_task_step").select(
+    failures = _matching(_failure_text(tables), "functional_failure_id", few, "functional_failure_id")
+    events = _matching(
+        tables("silver_s5000f.maintenance_event").select(
+            "maintenance_event_id", "maintenance_task_id", "actual_start", "actual_end"
+        ),
+        "maintenance_task_id", few, "maintenance_task_id",
+    )
+    steps = _matching(
+        tables("silver_s5000f.maintenance_task_step"), "maintenance_task_id", few, "maintenance_task_id"
+    ).select(
         F.col("maintenance_task_id").alias("step_task"),
         "task_step_id",
         "step_number",
         F.col("description").alias("step_description"),
         _round(_duration()).alias("actual_duration_minutes"),
     )
-    executed = tasks.join(events, "maintenance_task_id", "left").withColumn(
-        "executed_task", F.when(F.col("maintenance_event_id").isNotNull(), F.col("maintenance_task_id"))
-    )
+    executed = F.col("maintenance_event_id").isNotNull()
     return (
-        few.join(executed, "product_instance_id", "left")
-        .join(steps, F.col("executed_task") == F.col("step_task"), "left")
+        few.join(failures, "functional_failure_id", "left")
+        .join(events, "maintenance_task_id", "left")
+        .join(steps, (F.col("maintenance_task_id") == F.col("step_task")) & executed, "left")
         .select(
             "product_instance_id",
             "name",
@@ -361,10 +375,7 @@ def n15(tables: Tables) -> DataFrame:
             "maintenance_event_id",
             "actual_start",
             blank_to_null("actual_end").alias("actual_end"),
-            F.when(
-                F.col("maintenance_event_id").isNotNull(),
-                execution_status(F.col("actual_start"), F.col("actual_end")),
-            ).alias("execution_status"),
+            F.when(executed, execution_status(F.col("actual_start"), F.col("actual_end"))).alias("execution_status"),
             "task_step_id",
             "step_description",
             "step_number",
@@ -426,8 +437,11 @@ def n17(tables: Tables) -> DataFrame:
     )
     instances = tables("silver_s5000f.product_instance").select("product_instance_id", "type")
     executed = tasks.join(events, F.col("maintenance_task_id") == F.col("event_task"), "left")
+    # joined on the task, which both sides are already partitioned by
     stepped = executed.join(
-        _steps_per_task(tables("silver_s5000f.maintenance_task_step")), F.col("event_task") == F.col("step_task"), "left"
+        _steps_per_task(tables("silver_s5000f.maintenance_task_step")),
+        (F.col("maintenance_task_id") == F.col("step_task")) & F.col("event_task").isNotNull(),
+        "left",
     )
     rows = F.greatest(F.coalesce("steps", F.lit(0)), F.lit(1))
     start_delay = days_between("planned_start", "actual_start")
@@ -525,7 +539,6 @@ def n20(tables: Tables) -> DataFrame:
 
     Each side is cut to its own 15 rows before its texts and totals are looked up.
     """
-    order = (F.desc("actual_end"), F.col("maintenance_id"))
     application = _described_orders(_latest_finished(tables, 15), tables).select(
         F.lit("Application Maintenance").alias("source"),
         F.col("id").alias("maintenance_id"),
@@ -549,18 +562,16 @@ def n20(tables: Tables) -> DataFrame:
     instances = tables("silver_s5000f.product_instance").select(
         "product_instance_id", F.col("name").alias("asset_name")
     )
-    few = (
+    few = settle(
         events.join(tasks, "maintenance_task_id")
         .join(instances, "product_instance_id")
         .withColumnRenamed("maintenance_task_id", "maintenance_id")
-        .orderBy(*order)
+        .orderBy(F.desc("actual_end"), "maintenance_id")
         .limit(15)
     )
-    failures = _failure_text(tables).join(few.select("functional_failure_id"), "functional_failure_id", "left_semi")
+    failures = _matching(_failure_text(tables), "functional_failure_id", few, "functional_failure_id")
     steps = _steps_per_task(
-        tables("silver_s5000f.maintenance_task_step").join(
-            few.select(F.col("maintenance_id").alias("maintenance_task_id")), "maintenance_task_id", "left_semi"
-        )
+        _matching(tables("silver_s5000f.maintenance_task_step"), "maintenance_task_id", few, "maintenance_id")
     )
     standard = (
         few.join(failures, "functional_failure_id", "left")
@@ -617,62 +628,83 @@ def n21(tables: Tables) -> DataFrame:
 
 
 def n22(tables: Tables) -> DataFrame:
-    """Timeline of maintenance in both representations, latest 20."""
-    actions = tables("silver.maintenance_action").select(
-        "id", "work_order_id", "description", "started_at", _round(_duration()).alias("duration_minutes")
-    )
-    orders = _renamed(tables("silver.work_order"), order_id="id", order_asset="asset_id", request="work_request_id")
-    assets = _renamed(tables("silver.asset"), asset_id="id", asset_name="name")
-    requests = _renamed(tables("silver.work_request"), request_id="id", work_description="description")
-    described = orders.join(requests, F.col("request") == F.col("request_id"), "left").join(
-        assets, F.col("order_asset") == F.col("asset_id")
-    )
-    application = (
-        actions.filter(F.col("started_at").isNotNull())
-        .join(described, F.col("work_order_id") == F.col("order_id"))
-        .select(
-            F.lit("Application Event").alias("event_type"),
-            F.col("id").alias("event_id"),
-            "description",
-            F.col("started_at").alias("event_time"),
-            "asset_name",
-            "work_description",
-            "duration_minutes",
-        )
-    )
-    steps = tables("silver_s5000f.maintenance_task_step").select(
-        "maintenance_task_id", "task_step_id", "description", _round(_duration()).alias("duration_minutes")
-    )
-    events = tables("silver_s5000f.maintenance_event").select("maintenance_task_id", "actual_start")
+    """Timeline of maintenance in both representations, latest 20.
+
+    The joins that decide which events count carry keys and times only; texts are looked up for the
+    20 events that are left.
+    """
+    actions = tables("silver.maintenance_action").filter(F.col("started_at").isNotNull())
+    orders = _renamed(
+        tables("silver.work_order"), work_order_id="id", asset_id="asset_id", work_request_id="work_request_id"
+    ).join(tables("silver.asset").select(F.col("id").alias("asset_id"), F.col("name").alias("asset_name")), "asset_id")
+    application = actions.select("id", "work_order_id", F.col("started_at").alias("event_time")).join(
+        orders, "work_order_id"
+    )
+    events = tables("silver_s5000f.maintenance_event").filter(F.col("actual_start").isNotNull())
     tasks = tables("silver_s5000f.maintenance_task").select(
         "maintenance_task_id", "product_instance_id", "functional_failure_id"
     )
     instances = tables("silver_s5000f.product_instance").select("product_instance_id", F.col("name").alias("asset_name"))
     executed = (
-        events.filter(F.col("actual_start").isNotNull())
+        events.select("maintenance_task_id", F.col("actual_start").alias("event_time"))
         .join(tasks, "maintenance_task_id")
         .join(instances, "product_instance_id")
-        .join(_failure_text(tables), "functional_failure_id", "left")
     )
-    standard = steps.join(executed, "maintenance_task_id").select(
-        F.lit("S5000F Event").alias("event_type"),
-        F.col("task_step_id").alias("event_id"),
-        "description",
-        F.col("actual_start").alias("event_time"),
-        "asset_name",
-        F.col("failure_description").alias("work_description"),
-        "duration_minutes",
+    steps = tables("silver_s5000f.maintenance_task_step")
+    standard = steps.select("maintenance_task_id", F.col("task_step_id").alias("id")).join(
+        executed, "maintenance_task_id"
+    )
+    columns = ["event_type", "id", "event_time", "asset_name", "text_key"]
+    few = settle(
+        application.select(
+            F.lit("Application Event").alias("event_type"), *columns[1:4], F.col("work_request_id").alias("text_key")
+        )
+        .union(
+            standard.select(
+                F.lit("S5000F Event").alias("event_type"), *columns[1:4], F.col("functional_failure_id").alias("text_key")
+            )
+        )
+        .orderBy(F.desc("event_time"), "event_type", "id")
+        .limit(20)
+    )
+    details = (
+        _matching(tables("silver.maintenance_action"), "id", few, "id")
+        .select(F.lit("Application Event").alias("event_type"), "id", "description", _duration().alias("minutes"))
+        .union(
+            _matching(steps.withColumnRenamed("task_step_id", "id"), "id", few, "id").select(
+                F.lit("S5000F Event"), "id", "description", _duration()
+            )
+        )
+    )
+    texts = (
+        _matching(_requests(tables, "description"), "request_id", few, "text_key")
+        .select(F.lit("Application Event").alias("event_type"), F.col("request_id").alias("text_key"), F.col("description").alias("work_description"))
+        .union(
+            _matching(_failure_text(tables), "functional_failure_id", few, "text_key").select(
+                F.lit("S5000F Event"), "functional_failure_id", "failure_description"
+            )
+        )
+    )
+    return (
+        few.join(details, ["event_type", "id"], "left")
+        .join(texts, ["event_type", "text_key"], "left")
+        .select(
+            "event_type",
+            F.col("id").alias("event_id"),
+            "description",
+            "event_time",
+            "asset_name",
+            "work_description",
+            _round(F.col("minutes")).alias("duration_minutes"),
+        )
+        .orderBy(F.desc("event_time"), "event_type", "event_id")
     )
-    return application.unionByName(standard).orderBy(F.desc("event_time"), "event_type", "event_id").limit(20)
 
 
 def n23(tables: Tables, system: str = SYSTEM) -> DataFrame:
-    """Dashboard of all layers for the 15 best available assets.
-
-    The ranking needs assets and availability only; every other table is read for these 15 assets.
-    """
+    """Dashboard of all layers for the 15 best available assets."""
     ranking = (F.col("availability_pct").desc_nulls_last(), F.col("asset_name"), F.col("asset_id"))
-    few = (
+    few = settle(
         _assets_with_availability(tables)
         .select(
             "asset_id",
@@ -685,39 +717,42 @@ def n23(tables: Tables, system: str = SYSTEM) -> DataFrame:
         .orderBy(*ranking)
         .limit(15)
     )
-    keys = few.select("asset_id")
     state = F.col("status")
     orders = (
-        tables("silver.work_order")
-        .select("id", "asset_id", "status")
-        .join(keys, "asset_id", "left_semi")
+        _matching(tables("silver.work_order").select("id", "asset_id", "status"), "asset_id", few, "asset_id")
         .groupBy("asset_id")
         .agg(
             F.count("id").alias("total_work_orders"),
             F.count_if(state == "completed").alias("completed_work_orders"),
-            F.count_if(state.isin("planned", "in_progress")).alias("pending_work_orders"),
+            F.count_if(state.isin(*OPEN_STATUSES)).alias("pending_work_orders"),
         )
     )
-    instances = (
-        tables("silver_s5000f.product_instance")
-        .filter(F.col("source_system") == system)
-        .select(F.col("source_id").alias("asset_id"), "product_instance_id", "type")
-        .join(keys, "asset_id", "left_semi")
+    # one instance per asset, so at most 15 rows
+    instances = settle(
+        _matching(
+            tables("silver_s5000f.product_instance")
+            .filter(F.col("source_system") == system)
+            .select(F.col("source_id").alias("asset_id"), "product_instance_id", F.col("type").alias("instance_type")),
+            "asset_id", few, "asset_id",
+        )
     )
+    keys = F.broadcast(instances.select("asset_id", "product_instance_id"))
     tasks = (
         tables("silver_s5000f.maintenance_task")
         .select("maintenance_task_id", "product_instance_id")
-        .join(
-            tables("silver_s5000f.product_instance").filter(F.col("source_system") == system)
-            .select("product_instance_id", F.col("source_id").alias("asset_id")).join(keys, "asset_id", "left_semi"),
-            "product_instance_id",
-        )
+        .join(keys, "product_instance_id")
     )
-    events = tables("silver_s5000f.maintenance_event").select(
-        "maintenance_event_id", F.col("maintenance_task_id").alias("event_task")
+    # an event belongs to the instance of its task
+    events = (
+        tables("silver_s5000f.maintenance_event")
+        .select("maintenance_event_id", F.col("maintenance_task_id").alias("event_task"), "product_instance_id")
+        .join(keys, "product_instance_id", "left_semi")
+        .drop("product_instance_id")
     )
     stepped = tasks.join(events, F.col("maintenance_task_id") == F.col("event_task"), "left").join(
-        _steps_per_task(tables("silver_s5000f.maintenance_task_step")), F.col("event_task") == F.col("step_task"), "left"
+        _steps_per_task(tables("silver_s5000f.maintenance_task_step")),
+        (F.col("maintenance_task_id") == F.col("step_task")) & F.col("event_task").isNotNull(),
+        "left",
     )
     model = stepped.groupBy("asset_id").agg(
         F.count("maintenance_task_id").alias("s5000f_maintenance_tasks"),
@@ -727,13 +762,15 @@ def n23(tables: Tables, system: str = SYSTEM) -> DataFrame:
     )
     pct = F.col("availability_pct")
     health = F.when(pct >= 95, "EXCELLENT").when(pct >= 90, "GOOD").when(pct >= 80, "FAIR").otherwise("POOR")
-    zero = ("total_work_orders", "completed_work_orders", "pending_work_orders", "s5000f_maintenance_tasks",
-            "s5000f_maintenance_events", "s5000f_maintenance_steps")
+    counts = [
+        "total_work_orders", "completed_work_orders", "pending_work_orders", "s5000f_maintenance_tasks",
+        "s5000f_maintenance_events", "s5000f_maintenance_steps",
+    ]
     return (
-        few.join(instances.drop("product_instance_id").withColumnRenamed("type", "instance_type"), "asset_id", "left")
+        few.join(instances.drop("product_instance_id"), "asset_id", "left")
         .join(orders, "asset_id", "left")
         .join(model, "asset_id", "left")
-        .fillna(0, zero)
+        .fillna(0, counts)
         .withColumn("health_status", health)
         .orderBy(*ranking)
         .limit(15)
