@@ -83,7 +83,7 @@ def stream_latest_state(t: binding.BoundTables) -> DataFrame:
 
 
 def bronze_parse(t: binding.BoundTables) -> DataFrame:
-    messages = binding.event_messages(t.raw("events")).select("value", "event_id")
+    messages = binding.event_messages(binding.spread(t.raw("events"))).select("value", "event_id")
     return parse_envelopes(messages, keep=("event_id",)).select(
         "event_id", "entity", "op", "event_ts", "pk_id", "event_date", "source_system"
     )
@@ -97,7 +97,7 @@ def _mixed_documents(t: binding.BoundTables, with_actions: bool) -> DataFrame:
         F.lit(head.replace('"Asset"', '"Vehicle"') + ',"pk":{"id":"'), key.cast("string"), F.lit('"}}')
     )
     rejected = F.when(key % 3 == 0, unknown).when(key % 3 == 1, F.lit(head + "}")).otherwise(F.lit("{" + head))
-    documents = binding.event_messages(t.raw("events")).select("value")
+    documents = binding.event_messages(binding.spread(t.raw("events"))).select("value")
     if with_actions:
         documents = documents.union(t("bronze.maintenance_action").select("payload_json"))
     return documents.union(t.raw("orders").select(rejected))

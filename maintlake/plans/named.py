@@ -61,7 +61,7 @@ def _orders_with_actions(orders: DataFrame, action: DataFrame) -> DataFrame:
 def _assets_with_availability(tables: Tables) -> DataFrame:
     a = tables("silver.asset")
     ga = tables("gold.asset_availability").select("asset_id", "is_available", "availability_pct", "computed_at")
-    return a.join(ga, a.id == ga.asset_id, "left").withColumn("asset_id", F.col("id"))
+    return a.join(ga, F.col("id") == F.col("asset_id"), "left").withColumn("asset_id", F.col("id"))
 
 
 def _renamed(df: DataFrame, **names: str) -> DataFrame:

@@ -34,6 +34,19 @@ EVENT_AFTER = StructType(
 )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Let every core take part where a small input is read by fewer tasks than there are cores.
+
+    The test tables are single files with one row group each, which one task reads; building and
+    parsing JSON behind such a scan would run on one core. Larger inputs have more splits than that
+    and pass through untouched.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _text(prefix: str, *parts: str) -> Column:
     pieces = [F.lit(prefix), F.col(parts[0]).cast("string")]
     for p in parts[1:]:
@@ -275,13 +288,18 @@ class BoundTables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.stamp = stamp
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def __call__(self, name: str) -> DataFrame:
-        namespace, table = name.split(".")
-        return getattr(self, f"_{namespace}")[table]()
+        if name not in self._read:
+            namespace, table = name.split(".")
+            self._read[name] = getattr(self, f"_{namespace}")[table]()
+        return self._read[name]
 
     @property
     def names(self) -> list[str]:
@@ -291,12 +309,14 @@ class BoundTables:
     @cached_property
     def _bronze(self):
         return {
-            "asset": lambda: asset_feed(self.raw("events")),
-            "maintenance_action": lambda: action_feed(self.raw("lineitem")),
+            "asset": lambda: asset_feed(spread(self.raw("events"))),
+            "maintenance_action": lambda: action_feed(spread(self.raw("lineitem"))),
             "work_request": lambda: _feed(
-                work_request_events(self.raw("orders")), "WorkRequest", AFTER["work_request"].names
+                work_request_events(spread(self.raw("orders"))), "WorkRequest", AFTER["work_request"].names
+            ),
+            "work_order": lambda: _feed(
+                work_order_events(spread(self.raw("orders"))), "WorkOrder", AFTER["work_order"].names
             ),
-            "work_order": lambda: _feed(work_order_events(self.raw("orders")), "WorkOrder", AFTER["work_order"].names),
             "registered_asset": lambda: _feed(
                 asset_events(self.raw("customer"), self.raw("nation")), "Asset", AFTER["asset"].names
             ),
@@ -313,29 +333,32 @@ class BoundTables:
 
     @cached_property
     def _silver_s5000f(self):
-        s = self._silver
+        at = self.stamp
         return {
-            "product_instance": lambda: concepts.product_instance(s["asset"](), self.stamp),
-            "functional_failure": lambda: concepts.functional_failure(s["work_request"](), self.stamp),
-            "maintenance_task": lambda: concepts.maintenance_task(s["work_order"](), self.stamp),
-            "maintenance_task_step": lambda: concepts.maintenance_task_step(s["maintenance_action"](), self.stamp),
+            "product_instance": lambda: concepts.product_instance(self("silver.asset"), at),
+            "functional_failure": lambda: concepts.functional_failure(self("silver.work_request"), at),
+            "maintenance_task": lambda: concepts.maintenance_task(self("silver.work_order"), at),
+            "maintenance_task_step": lambda: concepts.maintenance_task_step(self("silver.maintenance_action"), at),
             "maintenance_event": lambda: concepts.maintenance_event(
-                s["work_order"](), s["maintenance_action"](), self.stamp
+                self("silver.work_order"), self("silver.maintenance_action"), at
             ),
         }
 
     @cached_property
     def _gold(self):
-        s, c = self._silver, self._silver_s5000f
         at = self.stamp
         return {
-            "asset_availability": lambda: gold.asset_availability(s["asset"](), at),
-            "maintenance_history": lambda: gold.maintenance_history(c["maintenance_event"](), at),
-            "work_order_backlog": lambda: gold.work_order_backlog(s["work_order"](), s["work_request"](), at),
-            "mtbf_metrics": lambda: gold.mtbf_metrics(c["product_instance"](), c["functional_failure"](), at),
+            "asset_availability": lambda: gold.asset_availability(self("silver.asset"), at),
+            "maintenance_history": lambda: gold.maintenance_history(self("silver_s5000f.maintenance_event"), at),
+            "work_order_backlog": lambda: gold.work_order_backlog(
+                self("silver.work_order"), self("silver.work_request"), at
+            ),
+            "mtbf_metrics": lambda: gold.mtbf_metrics(
+                self("silver_s5000f.product_instance"), self("silver_s5000f.functional_failure"), at
+            ),
             "asset_maintenance_summary": lambda: gold.asset_maintenance_summary(
-                s["work_order"](), s["maintenance_action"](), at
+                self("silver.work_order"), self("silver.maintenance_action"), at
             ),
-            "asset_mtbf_days": lambda: gold.asset_mtbf_days(s["asset"](), s["work_request"](), at),
-            "backlog_detail": lambda: gold.backlog_detail(s["work_order"](), s["work_request"](), at),
+            "asset_mtbf_days": lambda: gold.asset_mtbf_days(self("silver.asset"), self("silver.work_request"), at),
+            "backlog_detail": lambda: gold.backlog_detail(self("silver.work_order"), self("silver.work_request"), at),
         }
