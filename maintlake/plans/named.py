@@ -630,74 +630,76 @@ def n21(tables: Tables) -> DataFrame:
 def n22(tables: Tables) -> DataFrame:
     """Timeline of maintenance in both representations, latest 20.
 
-    The joins that decide which events count carry keys and times only; texts are looked up for the
-    20 events that are left.
+    The ranking joins carry no request or failure texts; those are looked up for the 20 events left.
     """
-    actions = tables("silver.maintenance_action").filter(F.col("started_at").isNotNull())
-    orders = _renamed(
-        tables("silver.work_order"), work_order_id="id", asset_id="asset_id", work_request_id="work_request_id"
-    ).join(tables("silver.asset").select(F.col("id").alias("asset_id"), F.col("name").alias("asset_name")), "asset_id")
-    application = actions.select("id", "work_order_id", F.col("started_at").alias("event_time")).join(
-        orders, "work_order_id"
-    )
-    events = tables("silver_s5000f.maintenance_event").filter(F.col("actual_start").isNotNull())
-    tasks = tables("silver_s5000f.maintenance_task").select(
-        "maintenance_task_id", "product_instance_id", "functional_failure_id"
-    )
-    instances = tables("silver_s5000f.product_instance").select("product_instance_id", F.col("name").alias("asset_name"))
-    executed = (
-        events.select("maintenance_task_id", F.col("actual_start").alias("event_time"))
-        .join(tasks, "maintenance_task_id")
-        .join(instances, "product_instance_id")
-    )
-    steps = tables("silver_s5000f.maintenance_task_step")
-    standard = steps.select("maintenance_task_id", F.col("task_step_id").alias("id")).join(
-        executed, "maintenance_task_id"
+    event = ("event_type", "event_id", "description", "event_time", "asset_name", "text_key", "minutes")
+    orders = (
+        tables("silver.work_order")
+        .select(F.col("id").alias("work_order_id"), "asset_id", F.col("work_request_id").alias("text_key"))
+        .join(_asset_names(tables), "asset_id")
     )
-    columns = ["event_type", "id", "event_time", "asset_name", "text_key"]
-    few = settle(
-        application.select(
-            F.lit("Application Event").alias("event_type"), *columns[1:4], F.col("work_request_id").alias("text_key")
-        )
-        .union(
-            standard.select(
-                F.lit("S5000F Event").alias("event_type"), *columns[1:4], F.col("functional_failure_id").alias("text_key")
-            )
+    application = (
+        tables("silver.maintenance_action")
+        .filter(F.col("started_at").isNotNull())
+        .select(
+            F.lit("Application Event").alias("event_type"),
+            F.col("id").alias("event_id"),
+            "work_order_id",
+            "description",
+            F.col("started_at").alias("event_time"),
+            _duration().alias("minutes"),
         )
-        .orderBy(F.desc("event_time"), "event_type", "id")
-        .limit(20)
+        .join(orders, "work_order_id")
+        .select(*event)
     )
-    details = (
-        _matching(tables("silver.maintenance_action"), "id", few, "id")
-        .select(F.lit("Application Event").alias("event_type"), "id", "description", _duration().alias("minutes"))
-        .union(
-            _matching(steps.withColumnRenamed("task_step_id", "id"), "id", few, "id").select(
-                F.lit("S5000F Event"), "id", "description", _duration()
-            )
+    executed = (
+        tables("silver_s5000f.maintenance_event")
+        .filter(F.col("actual_start").isNotNull())
+        .select("maintenance_task_id", F.col("actual_start").alias("event_time"))
+        .join(
+            tables("silver_s5000f.maintenance_task").select(
+                "maintenance_task_id", "product_instance_id", F.col("functional_failure_id").alias("text_key")
+            ),
+            "maintenance_task_id",
         )
-    )
-    texts = (
-        _matching(_requests(tables, "description"), "request_id", few, "text_key")
-        .select(F.lit("Application Event").alias("event_type"), F.col("request_id").alias("text_key"), F.col("description").alias("work_description"))
-        .union(
-            _matching(_failure_text(tables), "functional_failure_id", few, "text_key").select(
-                F.lit("S5000F Event"), "functional_failure_id", "failure_description"
-            )
+        .join(
+            tables("silver_s5000f.product_instance").select("product_instance_id", F.col("name").alias("asset_name")),
+            "product_instance_id",
         )
     )
+    standard = (
+        tables("silver_s5000f.maintenance_task_step")
+        .select(
+            F.lit("S5000F Event").alias("event_type"),
+            F.col("task_step_id").alias("event_id"),
+            "maintenance_task_id",
+            "description",
+            _duration().alias("minutes"),
+        )
+        .join(executed, "maintenance_task_id")
+        .select(*event)
+    )
+    latest = (F.desc("event_time"), F.col("event_type"), F.col("event_id"))
+    few = settle(application.union(standard).orderBy(*latest).limit(20))
+    requests = _matching(_requests(tables, "description"), "request_id", few, "text_key")
+    failures = _matching(_failure_text(tables), "functional_failure_id", few, "text_key")
+    texts = requests.select(
+        F.lit("Application Event").alias("event_type"),
+        F.col("request_id").alias("text_key"),
+        F.col("description").alias("work_description"),
+    ).union(failures.select(F.lit("S5000F Event"), "functional_failure_id", "failure_description"))
     return (
-        few.join(details, ["event_type", "id"], "left")
-        .join(texts, ["event_type", "text_key"], "left")
+        few.join(texts, ["event_type", "text_key"], "left")
         .select(
             "event_type",
-            F.col("id").alias("event_id"),
+            "event_id",
             "description",
             "event_time",
             "asset_name",
             "work_description",
             _round(F.col("minutes")).alias("duration_minutes"),
         )
-        .orderBy(F.desc("event_time"), "event_type", "event_id")
+        .orderBy(*latest)
     )
 
 
