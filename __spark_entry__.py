@@ -46,11 +46,11 @@ def cdc_merge_incremental(t: binding.BoundTables) -> DataFrame:
 
 
 def cdc_merge_late(t: binding.BoundTables) -> DataFrame:
-    """Two interleaved halves of the feed, the later half first, through the state table."""
+    """The feed since the split day first, then all older events arriving late, through the state table."""
     bronze = t("bronze.asset")
-    odd = F.col("event_id") % 2 == 1
-    state = merge_state(None, bronze.filter(odd), binding.ASSET_TIE)
-    return current_rows(merge_state(state, bronze.filter(~odd), binding.ASSET_TIE), binding.EVENT_AFTER)
+    older = F.col("event_date") < SPLIT
+    state = merge_state(None, bronze.filter(~older), binding.ASSET_TIE)
+    return current_rows(merge_state(state, bronze.filter(older), binding.ASSET_TIE), binding.EVENT_AFTER)
 
 
 def cdc_action_state(t: binding.BoundTables) -> DataFrame:
@@ -91,12 +91,14 @@ def bronze_parse(t: binding.BoundTables) -> DataFrame:
 
 def _mixed_documents(t: binding.BoundTables, with_actions: bool) -> DataFrame:
     """The event feed with one rejected document per order: unknown entity, no key, or cut-off JSON."""
-    key = F.col("o_orderkey")
     head = '{"entity":"Asset","op":"c","event_ts":"2024-01-01T00:00:00+00:00","source":{"system":"driver"}'
-    unknown = F.concat(
-        F.lit(head.replace('"Asset"', '"Vehicle"') + ',"pk":{"id":"'), key.cast("string"), F.lit('"}}')
+    pk = F.concat(F.lit(',"pk":{"id":"'), F.col("o_orderkey").cast("string"), F.lit('"}}'))
+    status = F.col("o_orderstatus")
+    rejected = (
+        F.when(status == "F", F.concat(F.lit(head.replace("Asset", "Vehicle")), pk))
+        .when(status == "P", F.lit(head + "}"))
+        .otherwise(F.lit("{" + head))
     )
-    rejected = F.when(key % 3 == 0, unknown).when(key % 3 == 1, F.lit(head + "}")).otherwise(F.lit("{" + head))
     documents = binding.event_messages(binding.spread(t.raw("events"))).select("value")
     if with_actions:
         documents = documents.union(t("bronze.maintenance_action").select("payload_json"))

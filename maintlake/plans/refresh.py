@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -72,6 +73,22 @@ def refresh_table(store: TableStore, name: str, stamp: str | None = None) -> int
     return store.publish(name, BUILDERS[name](store, stamp or utc_now_iso()))
 
 
+# One job per table, each called with a store (and a run stamp).
+merge_asset = partial(merge_entity, entity_table="asset")
+merge_work_request = partial(merge_entity, entity_table="work_request")
+merge_work_order = partial(merge_entity, entity_table="work_order")
+merge_maintenance_action = partial(merge_entity, entity_table="maintenance_action")
+transform_product_instance = partial(refresh_table, name="silver_s5000f.product_instance")
+transform_functional_failure = partial(refresh_table, name="silver_s5000f.functional_failure")
+transform_maintenance_task = partial(refresh_table, name="silver_s5000f.maintenance_task")
+transform_maintenance_task_step = partial(refresh_table, name="silver_s5000f.maintenance_task_step")
+transform_maintenance_event = partial(refresh_table, name="silver_s5000f.maintenance_event")
+compute_asset_availability = partial(refresh_table, name="gold.asset_availability")
+compute_maintenance_history = partial(refresh_table, name="gold.maintenance_history")
+compute_work_order_backlog = partial(refresh_table, name="gold.work_order_backlog")
+compute_mtbf_metrics = partial(refresh_table, name="gold.mtbf_metrics")
+
+
 def refresh_order() -> list[str]:
     """Tables in dependency order, from the declared lineage."""
     done: list[str] = []

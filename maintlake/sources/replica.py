@@ -117,21 +117,30 @@ def load_staging(
     """Copy one layer table into ``staging_<layer>.<table>``; returns load statistics as JSON.
 
     ``limit`` copies at most that many rows, on request only. Errors are raised, not reported as text.
+    Each load also adds its statistics to the table ``replica.load_audit``.
     """
     source = store(f"{layer}.{table}")
     if limit:
         source = source.limit(limit)
     written = Observation()
     sink(staged(source, load_ts).observe(written, F.count(F.lit(1)).alias("rows")), f"staging_{layer}.{table}")
-    return json.dumps(
-        {
-            "status": "success",
-            "layer": layer,
-            "table": table,
-            "rows_loaded": written.get["rows"],
-            "timestamp": load_ts,
-        }
+    statistics = {
+        "status": "success",
+        "layer": layer,
+        "table": table,
+        "rows_loaded": written.get["rows"],
+        "timestamp": load_ts,
+    }
+    record_load(store, statistics)
+    return json.dumps(statistics)
+
+
+def record_load(store: TableStore, statistics: dict) -> None:
+    store.ensure_namespaces(["replica"])
+    row = store.spark.createDataFrame(
+        [tuple(statistics.values())], "status string, layer string, table string, rows_loaded long, timestamp string"
     )
+    row.coalesce(1).write.mode("append").saveAsTable("replica.load_audit")
 
 
 def build_models(store: TableStore, stage: Callable[[str], DataFrame], materialise: str = "table") -> dict[str, int]:

@@ -237,7 +237,7 @@ QUERIES: dict[str, str] = {
     "bronze_route_counts": """SELECT route, reject_reason, count(*) AS events FROM (
         SELECT 'asset' AS route, NULL::VARCHAR AS reject_reason FROM ev
         UNION ALL SELECT 'maintenance_action', NULL FROM lineitem
-        UNION ALL SELECT 'quarantine', CASE o_orderkey % 3 WHEN 0 THEN 'unknown_entity' WHEN 1 THEN 'missing_field'
+        UNION ALL SELECT 'quarantine', CASE o_orderstatus WHEN 'F' THEN 'unknown_entity' WHEN 'P' THEN 'missing_field'
                   ELSE 'malformed_json' END FROM orders) GROUP BY route, reject_reason""",
     "bronze_date_slice": """SELECT event_id, op, event_ts, pk_id, substr(event_ts, 1, 10) AS event_date FROM ev
         WHERE substr(event_ts, 1, 10) = '2024-01-05'""",
@@ -485,10 +485,10 @@ QUERIES: dict[str, str] = {
         _relation("silver.maintenance_action", "ma", "work_order_id", "silver.work_order", "wo"),
     ),
     "dq_envelope": """SELECT (SELECT count(*) FROM events) + count(*) AS events,
-        count(*) FILTER (o_orderkey % 3 = 2) AS malformed,
-        count(*) FILTER (o_orderkey % 3 = 2) AS missing_entity, count(*) FILTER (o_orderkey % 3 = 2) AS missing_event_ts,
-        count(*) FILTER (o_orderkey % 3 > 0) AS missing_pk, count(*) FILTER (o_orderkey % 3 = 2) AS missing_source,
-        count(*) FILTER (o_orderkey % 3 = 2) AS bad_op FROM orders""",
+        count(*) FILTER (o_orderstatus = 'O') AS malformed,
+        count(*) FILTER (o_orderstatus = 'O') AS missing_entity, count(*) FILTER (o_orderstatus = 'O') AS missing_event_ts,
+        count(*) FILTER (o_orderstatus <> 'F') AS missing_pk, count(*) FILTER (o_orderstatus = 'O') AS missing_source,
+        count(*) FILTER (o_orderstatus = 'O') AS bad_op FROM orders""",
     "dq_creation": """SELECT 'Asset' AS entity, count(*) AS key_count, count(*) FILTER (op <> 'c') AS not_created_first
         FROM (SELECT op, row_number() OVER (PARTITION BY pk_id ORDER BY event_ts, event_id) AS n FROM ev) WHERE n = 1""",
     "dq_lifecycle": """SELECT from_status, to_status, count(*) AS changes,

@@ -19,6 +19,7 @@ def test_staging_is_text_with_audit_columns_and_every_row(store, tmp_path):
     again = json.loads(replica.load_staging(store, "silver", "work_order", sink, AT, limit=10))
     assert again["rows_loaded"] == 10
     assert store.spark.read.parquet(str(tmp_path / "staging_silver.work_order")).count() == 10
+    assert sorted(r["rows_loaded"] for r in as_dicts(store("replica.load_audit"))) == [10, 1500]
 
 
 def test_errors_are_raised(store, tmp_path):

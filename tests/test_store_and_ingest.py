@@ -4,11 +4,12 @@ import pytest
 
 from conftest import as_dicts, asset_image, document
 from maintlake.plans.refresh import (
+    compute_work_order_backlog,
     merge_entity,
     merge_entity_incremental,
+    merge_work_order,
     refresh_all,
     refresh_order,
-    refresh_table,
 )
 from maintlake.schemas import LINEAGE, TABLES
 from maintlake.sources.feed import json_lines, json_lines_stream, write_json_lines
@@ -173,8 +174,8 @@ def test_an_empty_result_replaces_a_stale_one(store):
     refresh_all(store, T(20))
     closing = document("WorkOrder", op="d", pk="o2", ts=T(14))
     ingest_batch(store, store.spark.createDataFrame([(closing,)], "value string"), "load-2")
-    assert merge_entity(store, "work_order") == 1
-    assert refresh_table(store, "gold.work_order_backlog", T(21)) == 0
+    assert merge_work_order(store) == 1
+    assert compute_work_order_backlog(store, stamp=T(21)) == 0
     assert store("gold.work_order_backlog").isEmpty()
 
 
