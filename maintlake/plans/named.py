@@ -64,11 +64,6 @@ def _assets_with_availability(tables: Tables) -> DataFrame:
     return a.join(ga, F.col("id") == F.col("asset_id"), "left").withColumn("asset_id", F.col("id"))
 
 
-def _renamed(df: DataFrame, **names: str) -> DataFrame:
-    """Select columns as ``new=old``."""
-    return df.select(*[F.col(old).alias(new) for new, old in names.items()])
-
-
 def _steps_per_task(step: DataFrame) -> DataFrame:
     return step.groupBy(F.col("maintenance_task_id").alias("step_task")).agg(
         F.count("task_step_id").alias("steps"),

@@ -284,6 +284,8 @@ def action_snapshot(events: DataFrame) -> DataFrame:
 class BoundTables:
     """Every layer table, derived lazily from one folder of driver tables; call it with a table name."""
 
+    _schemas: dict[str, StructType] = {}  # by path, so that a process reads each file's footer once
+
     def __init__(self, spark: SparkSession, sf_dir: str, stamp: str = RUN_STAMP):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
@@ -292,7 +294,10 @@ class BoundTables:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            path = f"{self.sf_dir}/{name}.parquet"
+            if path not in self._schemas:
+                self._schemas[path] = self.spark.read.parquet(path).schema
+            self._read[name] = self.spark.read.schema(self._schemas[path]).parquet(path)
         return self._read[name]
 
     def __call__(self, name: str) -> DataFrame:
