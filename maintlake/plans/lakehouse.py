@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterable
 from datetime import date, datetime
 
@@ -72,22 +73,36 @@ class Lakehouse:
         return next((n for n in self.names if flat_name(n) == name), name)
 
     def _run(self, sql: str, date_filter: str | date | datetime | None) -> DataFrame:
-        """Views live only while the query is analysed; the result holds their plans."""
-        text = self._flatten(sql)
-        used = [n for n in self.names if re.search(rf"\b{flat_name(n)}\b", text, re.IGNORECASE)]
+        """Views live only while the query is analysed; the result holds their plans.
+
+        Their names are this call's own, so that neither views of the user nor other threads are met.
+        """
+        suffix = f"_{uuid.uuid4().hex}"
+        used: set[str] = set()
+        spellings = {s.lower(): n for n in self.names for s in (n, flat_name(n))}
+
+        def view_for(match: re.Match) -> str:
+            if not match["table"]:
+                return match[0]
+            name = spellings[match["table"].lower()]
+            used.add(name)
+            return flat_name(name) + suffix
+
+        text = self._table_pattern().sub(view_for, sql)
         try:
             for name in used:
-                on_date(self.tables(name), date_filter).createOrReplaceTempView(flat_name(name))
+                on_date(self.tables(name), date_filter).createOrReplaceTempView(flat_name(name) + suffix)
             return self.spark.sql(text)
         finally:
             for name in used:
-                self.spark.catalog.dropTempView(flat_name(name))
-
-    def _flatten(self, sql: str) -> str:
-        """Spell table names flat, outside quoted text, so they resolve to the (filtered) views."""
-        known = "|".join(re.escape(n) for n in sorted(self.names, key=len, reverse=True))
-        pattern = re.compile(rf"('(?:[^'\\]|\\.)*')|\b({known})\b", re.IGNORECASE)
-        return pattern.sub(lambda m: m.group(1) or flat_name(m.group(2)), sql)
+                self.spark.catalog.dropTempView(flat_name(name) + suffix)
+
+    def _table_pattern(self) -> re.Pattern:
+        """Known table names in either spelling; quoted text and comments match first and stay as they are."""
+        spellings = sorted({s for n in self.names for s in (n, flat_name(n))}, key=len, reverse=True)
+        known = "|".join(map(re.escape, spellings))
+        skipped = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|--[^\n]*|/\*.*?\*/"""
+        return re.compile(rf"{skipped}|(?<![\w.])(?P<table>{known})(?!\w)", re.IGNORECASE | re.DOTALL)
 
 
 def open_store(spark: SparkSession) -> Lakehouse:

@@ -46,14 +46,19 @@ def _duration() -> Column:
     return minutes_between("started_at", "completed_at")
 
 
-def _actions_per_order(action: DataFrame) -> DataFrame:
-    return action.groupBy(F.col("work_order_id").alias("action_order")).agg(
-        F.count("id").alias("actions"),
-        F.sum(_duration()).alias("minutes"),
-        F.count(_duration()).alias("timed"),
+def _counted(work: DataFrame, order_key: str, key: str, name: str) -> DataFrame:
+    """Rows, total minutes and rows with a duration per order; the times are parsed once per row."""
+    return (
+        work.select(F.col(order_key).alias("counted_key"), key, _duration().alias("duration"))
+        .groupBy("counted_key")
+        .agg(F.count(key).alias(name), F.sum("duration").alias("minutes"), F.count("duration").alias("timed"))
     )
 
 
+def _actions_per_order(action: DataFrame) -> DataFrame:
+    return _counted(action, "work_order_id", "id", "actions").withColumnRenamed("counted_key", "action_order")
+
+
 def _orders_with_actions(orders: DataFrame, action: DataFrame) -> DataFrame:
     return orders.join(_actions_per_order(action), F.col("id") == F.col("action_order"), "left").drop("action_order")
 
@@ -65,11 +70,7 @@ def _assets_with_availability(tables: Tables) -> DataFrame:
 
 
 def _steps_per_task(step: DataFrame) -> DataFrame:
-    return step.groupBy(F.col("maintenance_task_id").alias("step_task")).agg(
-        F.count("task_step_id").alias("steps"),
-        F.sum(_duration()).alias("minutes"),
-        F.count(_duration()).alias("timed"),
-    )
+    return _counted(step, "maintenance_task_id", "task_step_id", "steps").withColumnRenamed("counted_key", "step_task")
 
 
 def _failure_text(tables: Tables) -> DataFrame:

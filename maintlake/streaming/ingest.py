@@ -12,17 +12,17 @@ from maintlake.sources.tables import TableStore
 def without_repeats(raw: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Drop documents that arrive again within ``delay``; state is bounded by the watermark.
 
-    Identity is the whole document, so only true redeliveries go. Documents without a readable
-    event time take the time of arrival and so are never dropped as late.
+    Identity is the digest of the whole document, so only true redeliveries go and the state holds no
+    documents. Documents without a readable event time take the time of arrival and so are never
+    dropped as late.
     """
-    event_time = F.coalesce(
-        F.try_to_timestamp(F.get_json_object(F.col("value").cast("string"), "$.event_ts")), F.current_timestamp()
-    )
+    text = F.col("value").cast("string")
+    event_time = F.coalesce(F.try_to_timestamp(F.get_json_object(text, "$.event_ts")), F.current_timestamp())
     return (
-        raw.withColumn("event_time", event_time)
+        raw.withColumns({"event_time": event_time, "digest": F.sha2(text, 256)})
         .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(["value"])
-        .drop("event_time")
+        .dropDuplicatesWithinWatermark(["digest"])
+        .drop("event_time", "digest")
     )
 
 

@@ -57,6 +57,24 @@ def test_query_leaves_no_views_behind(lake, spark):
     assert not [t for t in spark.catalog.listTables() if t.isTemporary and t.name.startswith("silver_")]
 
 
+def test_views_of_the_user_survive(lake, spark):
+    spark.range(3).createOrReplaceTempView("silver_asset")
+    try:
+        assert lake.query(sql="SELECT * FROM silver_asset").count() == 150
+        assert spark.table("silver_asset").count() == 3
+    finally:
+        spark.catalog.dropTempView("silver_asset")
+
+
+def test_comments_and_qualified_columns(lake):
+    sql = """-- the asset's table, not 'gold.mtbf_metrics'
+        SELECT silver.asset.id, silver_work_order.status /* it's silver.asset */
+        FROM silver.asset JOIN silver_work_order ON silver_asset.id = silver.work_order.asset_id
+        WHERE silver.asset.status = 'failed'"""
+    df = lake.query(sql=sql)
+    assert df.columns == ["id", "status"] and df.count() > 0
+
+
 def test_unknown_tables_are_an_error(lake):
     with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
         lake.query(sql="SELECT * FROM silver.nothing")
