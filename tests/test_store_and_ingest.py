@@ -55,6 +55,14 @@ def test_a_reader_of_the_previous_version_is_not_disturbed(store):
     assert reader.count() == 5 and store("silver.t").count() == 2
 
 
+def test_a_write_that_died_before_publishing_is_not_seen(store):
+    store.publish("silver.t", store.spark.range(5))
+    version = store.version("silver.t")
+    store.spark.range(9).write.saveAsTable("silver.t__v99999999999999999999_dead")
+    assert store("silver.t").count() == 5 and store.version("silver.t") == version
+    store.spark.sql("DROP TABLE silver.t__v99999999999999999999_dead")
+
+
 def test_old_versions_go(store):
     for n in range(5):
         store.publish("silver.t", store.spark.range(n))
