@@ -280,9 +280,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["gold_work_order_backlog"](spark, SMOKE_DIR).orderBy("priority", "asset_id")
 
 
+def _training_data():
+    """The queries of the training-data subpackage; none where it (or the pipeline above it) is not installed."""
+    try:
+        from maintlake.llm import queries as registered
+    except ModuleNotFoundError as e:
+        if (e.name or "").startswith(("maintlake.llm", "corpus_pipeline")):
+            return {}, {}
+        raise
+    return registered.QUERIES, registered.ORACLE_SQL
+
+
 def queries() -> dict[str, Query]:
-    return {name: _bound(build) for name, build in _builders().items()}
+    return {name: _bound(build) for name, build in _builders().items()} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | _training_data()[1]
