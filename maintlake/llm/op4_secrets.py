@@ -9,6 +9,7 @@ Overlapping windows above the class's threshold join into a span; an allow-list
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -135,6 +136,14 @@ def noisy_spans(candidate: Column, cls: CharClass, rank: int) -> Column:
     )
 
 
+def _noisy(cls: CharClass, rank: int) -> Callable[[Column], Column]:
+    return lambda candidate: noisy_spans(candidate, cls, rank)
+
+
+def _count(kind: str) -> Column:
+    return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
 def find_secrets(
     docs: DataFrame,
     text: str = "text",
@@ -157,8 +166,7 @@ def find_secrets(
     for rank, cls in enumerate(classes, len(BASE)):
         pattern = "[" + cls.alphabet.replace("-", "\\-") + "]{" + str(cls.window) + ",}+"
         candidates = matches(F.col("__text"), pattern, 0, cls.window, rank, cls.kind)
-        spans = F.flatten(F.transform(candidates, lambda c, cls=cls, rank=rank: noisy_spans(c, cls, rank)))
-        more.append(spans)
+        more.append(F.flatten(F.transform(candidates, _noisy(cls, rank))))
     added = F.concat(*more) if more else _none()
     fresh = F.filter(
         added,
@@ -180,10 +188,7 @@ def secret_digest(docs: DataFrame) -> DataFrame:
     base = F.filter("found", lambda x: x["rank"] < len(BASE))
     return shown.select(
         "doc_id",
-        *(
-            F.size(F.filter("found", lambda x, kind=kind: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
-            for kind, *_ in BASE
-        ),
+        *(_count(kind) for kind, *_ in BASE),
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("found")).alias("spans"),
     )

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maintlake.llm import op3_pieces, op4_secrets, op9_urls
+from maintlake.llm import op1_mixing, op3_pieces, op4_secrets, op7_quality, op9_urls
 from maintlake.llm.shared import documents
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_mixing.mixed_documents(documents(spark, sf_dir))
+
+
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -19,14 +23,21 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_secrets.secret_digest(documents(spark, sf_dir))
 
 
+def op7_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return op7_quality.score_quality(documents(spark, sf_dir), labels)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return op9_urls.filter_urls(pages, F.col("url").rlike(op9_urls.CAMPAIGN))
 
 
 QUERIES = {
+    "op1_source_mix": op1_source_mix,
     "op3_piece_codec": op3_piece_codec,
     "op4_secret_scan": op4_secret_scan,
+    "op7_quality_score": op7_quality_score,
     "op9_url_filter": op9_url_filter,
 }
 ORACLE_SQL = {"op9_url_filter": op9_urls.ORACLE}
