@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maintlake.llm import op1_mixing, op3_pieces, op4_secrets, op7_quality, op9_urls
+from maintlake.llm import op1_mixing, op3_pieces, op4_secrets, op7_quality, op8_substrings, op9_urls
 from maintlake.llm.shared import documents
 
 
@@ -28,6 +28,10 @@ def op7_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_quality.score_quality(documents(spark, sf_dir), labels)
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_substrings.without_repeats(documents(spark, sf_dir))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return op9_urls.filter_urls(pages, F.col("url").rlike(op9_urls.CAMPAIGN))
@@ -38,6 +42,7 @@ QUERIES = {
     "op3_piece_codec": op3_piece_codec,
     "op4_secret_scan": op4_secret_scan,
     "op7_quality_score": op7_quality_score,
+    "op8_repeated_passages": op8_repeated_passages,
     "op9_url_filter": op9_url_filter,
 }
-ORACLE_SQL = {"op9_url_filter": op9_urls.ORACLE}
+ORACLE_SQL = {"op8_repeated_passages": op8_substrings.ORACLE, "op9_url_filter": op9_urls.ORACLE}
