@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maintlake.llm import op1_mixing, op3_pieces, op4_secrets, op7_quality, op8_substrings, op9_urls
+from maintlake.llm import op10_jaccard, op1_mixing, op3_pieces, op4_secrets, op7_quality, op8_substrings, op9_urls
 from maintlake.llm.shared import documents
 
 
@@ -37,6 +37,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_urls.filter_urls(pages, F.col("url").rlike(op9_urls.CAMPAIGN))
 
 
+def op10_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op3_piece_codec": op3_piece_codec,
@@ -44,5 +48,6 @@ QUERIES = {
     "op7_quality_score": op7_quality_score,
     "op8_repeated_passages": op8_repeated_passages,
     "op9_url_filter": op9_url_filter,
+    "op10_jaccard_groups": op10_jaccard_groups,
 }
-ORACLE_SQL = {"op8_repeated_passages": op8_substrings.ORACLE, "op9_url_filter": op9_urls.ORACLE}
+ORACLE_SQL = {"op8_repeated_passages": op8_substrings.ORACLE, "op9_url_filter": op9_urls.ORACLE, "op10_jaccard_groups": op10_jaccard.ORACLE}
