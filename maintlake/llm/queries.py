@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maintlake.llm import op10_jaccard, op1_mixing, op3_pieces, op4_secrets, op7_quality, op8_substrings, op9_urls
+from maintlake.llm import op10_jaccard, op1_mixing, op3_pieces, op4_secrets, op5_neighbours, op6_exact_topk, op7_quality, op8_substrings, op9_urls
 from maintlake.llm.shared import documents
 
 
@@ -23,6 +23,14 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_secrets.secret_digest(documents(spark, sf_dir))
 
 
+def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_neighbours.neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op6_sorted_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_exact_topk.exact_top(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return op7_quality.score_quality(documents(spark, sf_dir), labels)
@@ -45,9 +53,11 @@ QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op3_piece_codec": op3_piece_codec,
     "op4_secret_scan": op4_secret_scan,
+    "op5_multi_index": op5_multi_index,
+    "op6_sorted_lists": op6_sorted_lists,
     "op7_quality_score": op7_quality_score,
     "op8_repeated_passages": op8_repeated_passages,
     "op9_url_filter": op9_url_filter,
     "op10_jaccard_groups": op10_jaccard_groups,
 }
-ORACLE_SQL = {"op8_repeated_passages": op8_substrings.ORACLE, "op9_url_filter": op9_urls.ORACLE, "op10_jaccard_groups": op10_jaccard.ORACLE}
+ORACLE_SQL = {"op6_sorted_lists": op6_exact_topk.ORACLE, "op8_repeated_passages": op8_substrings.ORACLE, "op9_url_filter": op9_urls.ORACLE, "op10_jaccard_groups": op10_jaccard.ORACLE}
