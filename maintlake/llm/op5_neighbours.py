@@ -177,10 +177,17 @@ def neighbours(
                     names=["block", "entry", "vector", "mask"],
                 )
 
-    table = F.array(*(F.lit(int(x)) for x in starts)), F.array(*(F.lit(int(x)) for x in cuts))
-    own = F.get(table[0], F.col("cell")) + F.pmod(F.xxhash64("entry"), F.get(table[1], F.col("cell"))).cast("int")
-    stored = indexed.select(
-        own.alias("block"), every(parts).alias("part"), F.lit(0).alias("kind"), "entry", "vector", "cell", "ids",
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell = np.asarray(batch.column(1))
+            own = starts[cell] + np.asarray(batch.column(0)) % cuts[cell]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *batch.columns[1:]], names=["block", *batch.schema.names[1:]])
+
+    columns = ["cell", "entry", "vector", "ids"]
+    ddl = "block int, cell int, entry long, vector array<double>, ids array<long>"
+    stored = indexed.select(F.pmod(F.xxhash64("entry"), F.lit(1 << 40)).alias("spread"), *columns).mapInArrow(pack, ddl)
+    stored = stored.select(
+        "block", every(parts).alias("part"), F.lit(0).alias("kind"), "entry", "vector", "cell", "ids",
         F.lit(None).cast("binary").alias("mask"),
     )
     walking = searched.mapInArrow(probes, "block int, entry long, vector array<double>, mask binary").select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maintlake.llm import op10_jaccard, op1_mixing, op3_pieces, op4_secrets, op5_neighbours, op6_exact_topk, op7_quality, op8_substrings, op9_urls
+from maintlake.llm import op10_jaccard, op1_mixing, op2_lines, op3_pieces, op4_secrets, op5_neighbours, op6_exact_topk, op7_quality, op8_substrings, op9_urls
 from maintlake.llm.shared import documents
 
 
@@ -12,6 +12,10 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_mixing.mixed_documents(documents(spark, sf_dir))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_lines.repeated_lines(documents(spark, sf_dir)).drop("text_key")
+
+
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -51,6 +55,7 @@ def op10_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op2_line_dedup": op2_line_dedup,
     "op3_piece_codec": op3_piece_codec,
     "op4_secret_scan": op4_secret_scan,
     "op5_multi_index": op5_multi_index,

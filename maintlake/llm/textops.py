@@ -39,14 +39,22 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return table(base), table(pow(base, -1, 1 << 64))
 
 
+class Rolling:
+    """Codes of any stretches of ``values`` from one running sum: equal content gives equal codes at any place."""
+
+    def __init__(self, values: np.ndarray, seed: int = 0) -> None:
+        size = 1 << max(12, int(values.size).bit_length())
+        up, self.down = _powers(_BASES[seed], size)
+        self.total = np.zeros(values.size + 1, U)
+        np.cumsum((values.astype(U) + U(1)) * up[: values.size], dtype=U, out=self.total[1:])
+
+    def codes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        code = (self.total[ends] - self.total[starts]) * self.down[starts]
+        return mix(code + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+
+
 def span_codes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A code of each ``values[start:end]``, from one running sum: equal content gives equal codes at any place."""
-    size = 1 << max(12, int(values.size).bit_length())
-    up, down = _powers(_BASES[seed], size)
-    total = np.zeros(values.size + 1, U)
-    np.cumsum((values.astype(U) + U(1)) * up[: values.size], dtype=U, out=total[1:])
-    code = (total[ends] - total[starts]) * down[starts]
-    return mix(code + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+    return Rolling(values, seed).codes(starts, ends)
 
 
 def run_codes(codes: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
