@@ -274,7 +274,8 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20) -> DataFram
 
 
 def without_repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20) -> DataFrame:
-    """``docs`` with the same columns, their texts without repeated lines; documents that lose all their lines go."""
+    """``docs`` with the same columns, their texts (and ``n_chars``) without repeated lines; documents that lose all
+    their lines go. A null text stays null."""
     found = repeated_lines(docs, edits, least).filter("n_removed > 0").dropDuplicates(["doc_id", "text_key"])
     found = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("removed").alias("__removed"))
     key = F.xxhash64(F.coalesce("text", F.lit("")))
@@ -295,4 +296,5 @@ def without_repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20) ->
             columns = [pa.array(text, pa.string()) if n == "text" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(some)], names=[*names, "__any"])
 
-    return joined.select(*names, "__removed").mapInArrow(rows, schema).filter("__any").drop("__any")
+    out = joined.select(*names, "__removed").mapInArrow(rows, schema).filter("__any").drop("__any")
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from maintlake.llm import op10_jaccard, op1_mixing, op2_lines, op3_pieces, op4_secrets, op5_neighbours, op6_exact_topk, op7_quality, op8_substrings, op9_urls
 from maintlake.llm.shared import documents
 
@@ -64,5 +65,6 @@ QUERIES = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_url_filter": op9_url_filter,
     "op10_jaccard_groups": op10_jaccard_groups,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {"op6_sorted_lists": op6_exact_topk.ORACLE, "op8_repeated_passages": op8_substrings.ORACLE, "op9_url_filter": op9_urls.ORACLE, "op10_jaccard_groups": op10_jaccard.ORACLE}
