@@ -172,20 +172,27 @@ def _packer(window: int, mini: int, often: np.ndarray, buckets: int):
 
 def later_windows(ids, keys, starts, n, sizes, data: np.ndarray, window: int):
     """Which windows of a bucket's strings repeat an earlier one, as (string, first window, number of windows)."""
-    words = find_words(data, np.append(0, np.cumsum(sizes)))
     of = np.repeat(np.arange(n.size), n)
     within = np.arange(of.size) - np.repeat(np.cumsum(n) - n, n)
-    at = words.first[of] + within
-    codes = words.codes()
-    one, two = run_codes(codes, window)[at], run_codes(words.codes(1), window, 1)[at]
+    stops = np.cumsum(sizes)
+    parts = []
+    lo = 0
+    while lo < n.size:  # codes of about a million bytes of strings at a time
+        base = int(stops[lo] - sizes[lo])
+        hi = max(lo + 1, int(np.searchsorted(stops, base + (1 << 20), "right")))
+        words = find_words(data[base : stops[hi - 1]], np.append(0, stops[lo:hi] - base))
+        at = np.repeat(words.first[:-1], n[lo:hi]) + within[of.searchsorted(lo) : of.searchsorted(hi)]
+        one, two = (run_codes(words.codes(seed), window, seed)[at] for seed in (0, 1))
+        parts.append((one, two, words.starts[at] + base, words.ends[at + window - 1] + base))
+        lo = hi
+    one, two, left, right = (np.concatenate(x) for x in zip(*parts))
     order = np.lexsort((starts[of] + within, keys[of], ids[of], two, one))
     a, b = order[1:], order[:-1]
     same = np.append(False, (one[a] == one[b]) & (two[a] == two[b]))
-    raw = data.tobytes()
-    left, right = words.starts[at], words.ends[at + window - 1]
+    raw = memoryview(data)
     later = np.flatnonzero(same)
     if any(raw[left[x] : right[x]] != raw[left[y] : right[y]] for x, y in zip(order[later], order[later - 1])):
-        text = [raw[x:y] for x, y in zip(left, right)]  # codes collide: sort by the words themselves
+        text = [bytes(raw[x:y]) for x, y in zip(left, right)]  # codes collide: sort by the words themselves
         order = np.array(sorted(range(of.size), key=lambda i: (text[i], ids[of[i]], keys[of[i]], starts[of[i]] + within[i])))
         same = np.array([False, *(text[x] == text[y] for x, y in zip(order[1:], order[:-1]))])
     lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(order.size)))]  # the first of each one's equals
@@ -204,7 +211,7 @@ def later_windows(ids, keys, starts, n, sizes, data: np.ndarray, window: int):
 def repeats(texts: DataFrame, window: int = 20, mini: int = 3, buckets: int | None = None) -> DataFrame:
     """Windows of ``texts`` (from :func:`keyed`) that start earlier elsewhere: ``doc_id, text_key, start, n`` windows."""
     spark = texts.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     often = frequent_runs(texts, mini)
     arrays = "doc_id array<long>, text_key array<long>, start array<long>, n array<long>, size array<long>"
     sent = texts.mapInArrow(_packer(window, mini, often, buckets), f"bucket long, {arrays}, packed binary")
