@@ -11,10 +11,10 @@ shards that are judged one after the other, each with filters of that size.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from maintlake.llm.bloom import Level, build_level
 from maintlake.llm.shared import require, saved
 
 # Rules of the contract, as verdict, host and path prefix.
@@ -47,43 +47,6 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-@dataclass(frozen=True)
-class Level:
-    bits: int
-    hashes: int
-    number: int
-    #: One row, one column: the filter as array<long>.
-    words: DataFrame
-
-    def lets_through(self, key: Column) -> Column:
-        words = self.words.scalar()
-        passed = F.lit(True)
-        for place in places(key, self.bits, self.hashes, self.number):
-            word = F.element_at(words, (F.shiftright(place, 6) + 1).cast("int"))
-            passed = passed & (F.call_function("getbit", word, place.bitwiseAND(F.lit(63)).cast("int")) == 1)
-        return passed
-
-
-def places(key: Column, bits: int, hashes: int, number: int) -> list[Column]:
-    """Bit numbers of a key in a level; each level hashes anew, so that what one lets through is spread by the next."""
-    first = F.pmod(F.xxhash64(F.lit(2 * number), key), F.lit(bits))
-    second = F.pmod(F.xxhash64(F.lit(2 * number + 1), key), F.lit(bits))
-    return [F.pmod(first + second * i, F.lit(bits)) for i in range(hashes)]
-
-
-def build_level(keys: DataFrame, n: int, number: int, bits_per_key: float) -> Level:
-    spark = keys.sparkSession
-    n_words = max(1, math.ceil(n * bits_per_key / 64))
-    bits, hashes = n_words * 64, max(1, round(bits_per_key * math.log(2)))
-    place = keys.select(F.explode(F.array(*places(F.col("key"), bits, hashes, number))).alias("place"))
-    words = place.groupBy(F.shiftright("place", 6).alias("id")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))).alias("w")
-    )
-    dense = spark.range(n_words).join(words, "id", "left").select("id", F.coalesce("w", F.lit(0).cast("long")).alias("w"))
-    row = dense.agg(F.sort_array(F.collect_list(F.struct("id", "w"))).alias("all")).select(F.col("all.w").alias("words"))
-    return Level(bits, hashes, number, saved(row))
-
-
 def build_cascade(keys: DataFrame, bits_per_key: float = 10.0, max_levels: int = 64) -> list[Level]:
     """Levels for ``keys`` (key, listed), one row a key. Each level's errors are a hundredth of the keys before."""
     levels: list[Level] = []
