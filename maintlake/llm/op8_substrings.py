@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from maintlake.llm.bloom import possible
 from maintlake.llm.shared import NULL_ID, known_id, require, saved
 from maintlake.llm.textops import U, Words, find_words, run_codes, span_codes, text_blocks
 
@@ -211,7 +212,7 @@ def later_windows(ids, keys, starts, n, sizes, data: np.ndarray, window: int):
 def repeats(texts: DataFrame, window: int = 20, mini: int = 3, buckets: int | None = None) -> DataFrame:
     """Windows of ``texts`` (from :func:`keyed`) that start earlier elsewhere: ``doc_id, text_key, start, n`` windows."""
     spark = texts.sparkSession
-    buckets = buckets or 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     often = frequent_runs(texts, mini)
     arrays = "doc_id array<long>, text_key array<long>, start array<long>, n array<long>, size array<long>"
     sent = texts.mapInArrow(_packer(window, mini, often, buckets), f"bucket long, {arrays}, packed binary")
@@ -295,7 +296,19 @@ def without_repeats(docs: DataFrame, window: int = 20, mini: int = 3, buckets: i
                     columns.append(pa.array([k.decode() for k in kept]))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = texts.join(found, ["doc_id", "text_key"], "left").select(
+    found = saved(found)
+    place = F.xxhash64("doc_id", "text_key")
+    level = possible(found.select(place.alias("key")))
+    some = texts
+    untouched = None
+    if level is not None:  # texts without any repeat needn't travel
+        some = texts.filter(level.lets_through(place))
+        untouched = texts.filter(~level.lets_through(place))
+    joined = some.join(found, ["doc_id", "text_key"], "left")
+    if untouched is not None:
+        nothing = F.lit(None).cast("array<long>")
+        joined = joined.unionByName(untouched.withColumns({"starts": nothing, "ns": nothing}))
+    joined = joined.select(
         F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "text", "starts", "ns"
     )
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * emit_text
