@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from maintlake.llm.bloom import possible, thinned
 from maintlake.llm.links import Groups, components, each_group, in_blocks
 from maintlake.llm.shared import NULL_ID, known_id, require, saved
 from maintlake.llm.textops import U, Rolling, mix, text_blocks
@@ -223,15 +224,16 @@ def line_links(texts: DataFrame, edits: int, least: int, block_chars: int = 2_00
     """Links ``a, b`` between different lines: exact up to connectedness."""
     keys = _keys(texts, edits, least)
     hubs = keys.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("other")).filter("hub <> other")
-    # few next to the lines, as a rule; Spark joins them by broadcast if their measured size allows it
     hubs = saved(hubs.select("token", "hub"))
-    stars = keys.join(hubs, "token").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    level = possible(hubs.select(F.col("token").alias("key")))
+    stars = thinned(keys, F.col("token"), level).join(hubs, "token").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     family = components(stars).withColumnRenamed("component", "family")
-    members = _wanted_lines(texts).join(family, "node").groupBy("node", "family").agg(F.min("value").alias("value"))
+    level = possible(family.select(F.col("node").alias("key")))
+    members = thinned(_wanted_lines(texts), F.col("node"), level).join(family, "node").groupBy("node", "family").agg(F.min("value").alias("value"))
     members = saved(members.withColumn("chars", F.length("value")))
-    blocks = in_blocks(members, "chars", block_chars)
-    return each_group(blocks.select("family", "left", "right", "block", "node", "value"), ["family", "left", "right"],
-                      lambda t: compare(t, edits), "a long, b long")
+    spread = in_blocks(members.select("family", "node", "chars"), "chars", block_chars).drop("chars")
+    blocks = spread.join(members.select("node", "value"), "node")
+    return each_group(blocks, ["family", "left", "right"], lambda t: compare(t, edits), "a long, b long")
 
 
 def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20) -> DataFrame:
