@@ -70,13 +70,15 @@ def resolve_cdc(
     rows stay. A batch of deletes only therefore removes its rows, and an empty batch changes
     nothing. Existing rows without a key are not valid rows and drop out.
 
-    The anti join reads just the keys of the batch: while they are few Spark broadcasts them by
+    A key whose latest event has no operation keeps its existing row. The anti join reads just the
+    keys of the resolved batch: while they are few Spark broadcasts them by
     their measured size and the existing table is not shuffled; otherwise both sides shuffle once.
     """
-    fresh = current_rows(latest_events(bronze, tie, normalise_ts), after)
+    latest = latest_events(bronze, tie, normalise_ts)
+    fresh = current_rows(latest, after)
     if existing is None:
         return fresh
-    changed = bronze.filter(F.col("op").isNotNull()).select(F.col("pk_id").alias("source_id")).distinct()
+    changed = latest.filter(F.col("op").isNotNull()).select(F.col("pk_id").alias("source_id"))
     untouched = existing.filter(F.col("source_id").isNotNull()).join(changed, "source_id", "left_anti")
     return untouched.unionByName(fresh, allowMissingColumns=True).select(
         *fresh.columns, *[c for c in existing.columns if c not in fresh.columns]

@@ -2,54 +2,51 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, functions as F
 
 from maintlake.operators.envelope import parse_envelopes
-from maintlake.session import shared_dir
 from maintlake.sources.tables import TableStore
 
 
-def without_repeats(raw: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop documents that arrive again within ``delay``; state is bounded by the watermark.
+def without_repeats(raw: DataFrame) -> DataFrame:
+    """Drop documents that arrive again, however late.
 
-    Identity is the digest of the whole document, so only true redeliveries go and the state holds no
-    documents. Documents without a readable event time take the time of arrival and so are never
-    dropped as late.
+    Identity is the digest of the whole document, so only true redeliveries go. There is no watermark, which would
+    drop distinct late documents too: the digests seen stay in the state store for as long as the checkpoint lives.
     """
-    text = F.col("value").cast("string")
-    event_time = F.coalesce(F.try_to_timestamp(F.get_json_object(text, "$.event_ts")), F.current_timestamp())
-    return (
-        raw.withColumns({"event_time": event_time, "digest": F.sha2(text, 256)})
-        .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(["digest"])
-        .drop("event_time", "digest")
-    )
+    return raw.withColumn("digest", F.sha2(F.col("value").cast("string"), 256)).dropDuplicates(["digest"]).drop("digest")
 
 
 def ingest_available(
-    store: TableStore, raw: DataFrame, feed: str = "cdc", checkpoint: str | None = None
+    store: TableStore, raw: DataFrame, feed: str = "cdc", *, checkpoint: str
 ) -> int:
     """Drain what the feed holds now into the log, then stop; returns the events stored.
 
     The checkpoint remembers the offsets, so the next call goes on where this one ended. Batches are
-    stored under ``<feed>-<batch>``, which makes a batch repeated after a lost driver or executor
-    replace its first attempt.
+    stored under ``<feed>-<query>-<batch>``, which makes a batch repeated after a lost driver or executor
+    replace its first attempt. The query's id is kept in its checkpoint: another checkpoint counts its batches
+    from 0 again, but never replaces what this one stored.
     """
     store.create_event_log()
     stored = 0
+    started = threading.Event()
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
         nonlocal stored
         kept = ("offset",) if "offset" in batch.columns else ()
         events = parse_envelopes(batch, keep=kept)
-        stored += TableStore(batch.sparkSession).append_events(events, f"{feed}-{batch_id:012d}")
+        started.wait()
+        stored += TableStore(batch.sparkSession).append_events(events, f"{feed}-{query.id}-{batch_id:012d}")
 
     query = (
         raw.writeStream.foreachBatch(store_batch)
-        .option("checkpointLocation", checkpoint or f"{shared_dir(store.spark)}/ingest/{feed}")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    started.set()
     query.awaitTermination()
     store.spark.catalog.refreshTable("bronze.event_log")
     return stored

@@ -179,3 +179,9 @@ def test_state_table_takes_batches_in_any_order_and_again(bronze, history, data)
 
 def test_latest_events_keep_tombstones(bronze):
     assert [r["op"] for r in as_dicts(latest_events(bronze(event(ts=T(1)), event(op="d", ts=T(2)))))] == ["d"]
+
+
+def test_key_whose_latest_event_has_no_operation_keeps_its_row(bronze):
+    existing = resolve_cdc(bronze(event(ts=T(8), after=asset_image())), None, ASSET)
+    batch = bronze(event(op="u", ts=T(9), after=asset_image(status="failed")), event(op=None, ts=T(10)))
+    assert [r["id"] for r in as_dicts(resolve_cdc(batch, existing, ASSET))] == ["a001"]

@@ -25,10 +25,10 @@ def plain(value):
 
 
 def test_every_query_has_an_oracle():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(registered._builders()) == set(registered.oracle.statements())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(registered._builders()))
 def test_query_equals_oracle(spark, duck, name):
     df = registered.queries()[name](spark, TESTDATA)
     expected = duck.execute(registered.oracle_sql()[name])

@@ -115,6 +115,37 @@ def test_raw_events_are_pruned_by_entity_and_date(store):
     assert "PartitionFilters" in plan and "event_date" in plan.split("PartitionFilters")[1]
 
 
+def test_another_checkpoint_does_not_replace_stored_events(store, tmp_path):
+    for n in (1, 2):
+        feed = tmp_path / f"feed{n}"
+        feed.mkdir()
+        (feed / "a.json").write_text(document(pk=f"a00{n}"))
+        stream = json_lines_stream(store.spark, str(feed))
+        assert ingest_available(store, stream, checkpoint=str(tmp_path / f"cp{n}")) == 1
+    assert {r["pk_id"] for r in store.read("bronze.asset").collect()} == {"a001", "a002"}
+
+
+def test_late_and_malformed_documents_are_not_dropped(store, tmp_path):
+    feed, checkpoint = tmp_path / "feed", str(tmp_path / "cp")
+    feed.mkdir()
+    stored = []
+    for name, text in (("a", document(ts="2024-01-15T12:00:00+00:00")), ("b", "{bad"), ("c", document(ts="2024-01-15T08:00:00+00:00"))):
+        (feed / f"{name}.json").write_text(text)
+        stream = without_repeats(json_lines_stream(store.spark, str(feed)))
+        stored.append(ingest_available(store, stream, checkpoint=checkpoint))
+    assert stored == [1, 1, 1]
+
+
+def test_repeated_load_leaves_nothing_of_its_first_attempt(store):
+    def day(n):
+        return document(pk=f"a{n}", ts=f"2024-01-{n:02d}T08:00:00+00:00")
+
+    for documents in ([day(1), day(2)], [day(3)]):
+        raw = store.spark.createDataFrame([(d,) for d in documents], "value string")
+        ingest_batch(store, raw, "it's one")
+    assert [r["pk_id"] for r in store.read("bronze.asset").collect()] == ["a3"]
+
+
 def test_redeliveries_within_the_delay_are_dropped(store, tmp_path):
     feed = tmp_path / "feed"
     write_lines(feed, "1.json", document(pk="a1"), document(pk="a1"), document(pk="a2"))
