@@ -73,11 +73,8 @@ def backlog_from_feed(t: binding.BoundTables) -> DataFrame:
 def stream_latest_state(t: binding.BoundTables) -> DataFrame:
     """The event log as a stream, kept as state by key, read back as the current rows."""
     work = f"{shared_dir(t.spark)}/stream_latest_state/{os.urandom(8).hex()}"
-    log = (
-        t.spark.readStream.schema(t.raw("events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(t.sf_dir)
-    )
+    # a stream reads folders or patterns; the pattern fits a single file and a folder of part files alike
+    log = t.spark.readStream.schema(t.raw("events").schema).parquet(f"{t.sf_dir}/events.[p]arquet")
     maintain_changes(binding.asset_feed(log), f"{work}/changes", f"{work}/checkpoint", binding.ASSET_TIE)
     return current_rows(read_latest(t.spark, f"{work}/changes", binding.ASSET_TIE), binding.EVENT_AFTER)
 

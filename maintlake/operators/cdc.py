@@ -19,14 +19,15 @@ def event_order(columns: Sequence[str], tie: Sequence[str] = (), normalise_ts: b
     ``event_ts`` is compared as text, which is right while producers emit one UTC offset;
     ``normalise_ts`` compares instants instead. Ties are broken by ``tie``, else by the log
     ``offset`` if the feed carries it (one key is always in one log partition), then by operation
-    (create < update < delete) and payload.
+    (create < update < delete), payload and source.
     """
     ts = F.try_to_timestamp("event_ts") if normalise_ts else F.col("event_ts")
+    rest = [F.col("payload_json"), F.col("source_system")]
     if tie:
-        return [ts, *[F.col(t) for t in tie]]
+        return [ts, *[F.col(t) for t in tie], *rest]
     op_rank = F.when(F.col("op") == "c", 0).when(F.col("op") == "u", 1).when(F.col("op") == "d", 2)
     log_order = [F.col("offset")] if "offset" in columns else []
-    return [ts, *log_order, op_rank, F.col("payload_json")]
+    return [ts, *log_order, op_rank, *rest]
 
 
 def latest_events(bronze: DataFrame, tie: Sequence[str] = (), normalise_ts: bool = False) -> DataFrame:
@@ -70,14 +71,16 @@ def resolve_cdc(
     rows stay. A batch of deletes only therefore removes its rows, and an empty batch changes
     nothing. Existing rows without a key are not valid rows and drop out.
 
-    A key whose latest event has no operation keeps its existing row. The anti join reads just the
-    keys of the resolved batch: while they are few Spark broadcasts them by
-    their measured size and the existing table is not shuffled; otherwise both sides shuffle once.
+    Events without a key change nothing in a table. A key whose latest event has no operation keeps its existing row.
+    The new rows and the changed keys come from one resolved batch, which is read and shuffled once. While
+    the keys are few Spark broadcasts them by their measured size and the existing table is not
+    shuffled; otherwise it is shuffled once.
     """
-    latest = latest_events(bronze, tie, normalise_ts)
-    fresh = current_rows(latest, after)
     if existing is None:
-        return fresh
+        return current_rows(latest_events(bronze, tie, normalise_ts), after)
+    # without null keys both uses below ask for the same rows, so that Spark shares their shuffle
+    latest = latest_events(bronze.filter(F.col("pk_id").isNotNull()), tie, normalise_ts)
+    fresh = current_rows(latest, after)
     changed = latest.filter(F.col("op").isNotNull()).select(F.col("pk_id").alias("source_id"))
     untouched = existing.filter(F.col("source_id").isNotNull()).join(changed, "source_id", "left_anti")
     return untouched.unionByName(fresh, allowMissingColumns=True).select(

@@ -135,53 +135,33 @@ def creation_report(events: DataFrame, entity: str, tie: Sequence[str] = ()) ->
     )
 
 
-def with_previous(
-    events: DataFrame,
-    key: str,
-    ts: str,
-    value: str,
-    tie: Sequence[str] = (),
-    hot_rows: int = 10_000_000,
-    bucket_chars: int = 13,
-) -> DataFrame:
+def with_previous(events: DataFrame, key: str, ts: str, value: str, tie: Sequence[str] = ()) -> DataFrame:
     """Add ``previous``: ``value`` of the preceding event of the same key, in (ts, tie) order.
 
-    A plain ``lag`` would put all events of a key into one task. Keys with more than ``hot_rows``
-    events are therefore cut into time buckets (the first ``bucket_chars`` of the ISO text; 13 = one
-    hour), which are separate groups of the same window. Only the first event of a bucket then lacks
-    its predecessor, which is the last event of the bucket before; those come from one row per hot
-    key and bucket. Any other key is one group, as without the split.
-
-    The broadcast list of hot keys is bounded: it has at most rows / ``hot_rows`` entries. The table of
-    bucket ends has no such bound and is joined on the partitioning the window already made.
+    A plain ``lag`` would put all events of a key into one task. The window therefore takes one key and
+    hour (of the ISO text), whatever the size of the key. The first event of an hour then lacks its predecessor,
+    which is the last event of the key's hour before: one row per key and hour, so a key has at most as
+    many as there are hours. Both read the same shuffled rows, and their join needs no further
+    shuffle of the events. An event without a key has no predecessor.
     """
-    hot = (
-        events.groupBy(F.col(key).alias("hot_key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter((F.col("n") > hot_rows) & F.col("hot_key").isNotNull())
-        .select("hot_key")
-    )
-    bucket = F.when(F.col("hot_key").isNotNull(), F.coalesce(F.substring(ts, 1, bucket_chars), F.lit("")))
-    marked = events.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").withColumn("bucket", bucket)
-    inside = Window.partitionBy(key, "bucket").orderBy(ts, *tie)
-    local = marked.withColumns(
-        {"previous": F.lag(value).over(inside), "first_in_bucket": F.row_number().over(inside) == 1}
+    group = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
+    hour = F.coalesce(F.substring(ts, 1, 13), F.lit(""))
+    rows = events.withColumns({"key_group": group, "key_hour": hour}).repartition("key_group", "key_hour")
+    inside = Window.partitionBy("key_group", "key_hour").orderBy(ts, *tie)
+    local = rows.withColumns(
+        {"previous": F.lag(value).over(inside), "first_in_hour": F.row_number().over(inside) == 1}
     )
-    across = Window.partitionBy("k").orderBy("b")
     carried = (
-        marked.filter(F.col("hot_key").isNotNull())
-        .groupBy(F.col("hot_key").alias("k"), F.col("bucket").alias("b"))
+        rows.groupBy(F.col("key_group").alias("g"), F.col("key_hour").alias("h"))
         .agg(F.max_by(value, F.struct(ts, *tie)).alias("last_value"))
-        .withColumn("carried", F.lag("last_value").over(across))
-        .filter(F.col("carried").isNotNull())
-        .select("k", "b", "carried")
+        .withColumn("carried", F.lag("last_value").over(Window.partitionBy("g").orderBy("h")))
+        .drop("last_value")
     )
-    # the window has already partitioned the events by these columns; a null bucket matches nothing
-    lookup = (F.col(key) == F.col("k")) & (F.col("bucket") == F.col("b")) & F.col("first_in_bucket")
+    before = F.when(F.col("first_in_hour"), F.col("carried")).otherwise(F.col("previous"))
     return (
-        local.join(carried, lookup, "left")
-        .withColumn("previous", F.coalesce("previous", "carried"))
-        .drop("hot_key", "bucket", "first_in_bucket", "k", "b", "carried")
+        local.join(carried, (F.col("key_group") == F.col("g")) & (F.col("key_hour") == F.col("h")), "left")
+        .withColumn("previous", F.when(F.col("key_group") != "", before))
+        .drop("key_group", "key_hour", "first_in_hour", "g", "h", "carried")
     )
 
 

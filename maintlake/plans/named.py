@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from maintlake.functions.measures import completeness, percent, ratio, total
 from maintlake.functions.timestamps import blank_to_null, days_between, minutes_between
@@ -249,8 +249,11 @@ def n12(tables: Tables) -> DataFrame:
         .orderBy(F.desc("open_work_orders"), F.desc("completed_work_orders"), "asset_id")
         .limit(10)
     )
+    ranked_orders = _matching(orders, "asset_id", ranked, "asset_id")
     actions = (
-        _orders_with_actions(_matching(orders, "asset_id", ranked, "asset_id"), tables("silver.maintenance_action"))
+        _orders_with_actions(
+            ranked_orders, _matching(tables("silver.maintenance_action"), "work_order_id", ranked_orders, "id")
+        )
         .groupBy("asset_id")
         .agg(
             total("actions").alias("total_maintenance_actions"),
@@ -480,16 +483,20 @@ def n18(tables: Tables, system: str = SYSTEM) -> DataFrame:
         mapped = (
             tables(concept).filter(F.col("source_system") == system).select("source_id", F.col(key).alias("concept_key"))
         )
-        found = F.countDistinct(F.when(F.col("concept_key").isNotNull(), F.col("id")))
+        # one row per id, the one with a counterpart if there is any, stands for the id
+        by_id = Window.partitionBy("id").orderBy(F.col("concept_key").desc_nulls_last())
+        found = F.count_if(F.col("first") & F.col("concept_key").isNotNull())
         return (
             tables(source)
             .select("id")
+            .filter(F.col("id").isNotNull())
             .join(mapped, F.col("id") == F.col("source_id"), "left")
+            .withColumn("first", F.row_number().over(by_id) == 1)
             .agg(
-                F.countDistinct("id").alias("source_records"),
+                F.count_if("first").alias("source_records"),
                 F.countDistinct("concept_key").alias("mapped_records"),
                 found.alias("successfully_mapped"),
-                F.round(percent(found, F.countDistinct("id")), 2).alias("mapping_percentage"),
+                F.round(percent(found, F.count_if("first")), 2).alias("mapping_percentage"),
             )
             .select(F.lit(name).alias("mapping"), "*")
         )
@@ -626,75 +633,83 @@ def n21(tables: Tables) -> DataFrame:
 def n22(tables: Tables) -> DataFrame:
     """Timeline of maintenance in both representations, latest 20.
 
-    The ranking joins carry no request or failure texts; those are looked up for the 20 events left.
+    The ranking carries times and keys only; texts, names and durations are looked up for the 20 events left.
     """
-    event = ("event_type", "event_id", "description", "event_time", "asset_name", "text_key", "minutes")
-    orders = (
-        tables("silver.work_order")
-        .select(F.col("id").alias("work_order_id"), "asset_id", F.col("work_request_id").alias("text_key"))
-        .join(_asset_names(tables), "asset_id")
-    )
+    narrow = ("event_type", "event_id", "event_time", "parent_key")
+    orders = tables("silver.work_order").select(F.col("id").alias("parent_key"), "asset_id", "work_request_id")
+    action = tables("silver.maintenance_action")
     application = (
-        tables("silver.maintenance_action")
-        .filter(F.col("started_at").isNotNull())
+        action.filter(F.col("started_at").isNotNull())
         .select(
             F.lit("Application Event").alias("event_type"),
             F.col("id").alias("event_id"),
-            "work_order_id",
-            "description",
             F.col("started_at").alias("event_time"),
-            _duration().alias("minutes"),
+            F.col("work_order_id").alias("parent_key"),
         )
-        .join(orders, "work_order_id")
-        .select(*event)
+        .join(orders.join(_asset_names(tables).select("asset_id"), "asset_id", "left_semi"), "parent_key", "left_semi")
+        .select(*narrow)
+    )
+    instances = tables("silver_s5000f.product_instance").select("product_instance_id", F.col("name").alias("asset_name"))
+    tasks = tables("silver_s5000f.maintenance_task").select(
+        F.col("maintenance_task_id").alias("parent_key"), "product_instance_id", "functional_failure_id"
     )
+    step = tables("silver_s5000f.maintenance_task_step")
+    step_keys = step.select(F.col("maintenance_task_id").alias("parent_key"), F.col("task_step_id").alias("event_id"))
     executed = (
         tables("silver_s5000f.maintenance_event")
         .filter(F.col("actual_start").isNotNull())
-        .select("maintenance_task_id", F.col("actual_start").alias("event_time"))
-        .join(
-            tables("silver_s5000f.maintenance_task").select(
-                "maintenance_task_id", "product_instance_id", F.col("functional_failure_id").alias("text_key")
-            ),
-            "maintenance_task_id",
-        )
+        .select(F.col("maintenance_task_id").alias("parent_key"), F.col("actual_start").alias("event_time"))
+        .join(tasks.join(instances, "product_instance_id", "left_semi"), "parent_key", "left_semi")
+    )
+    # 20 events with a step give 20 rows or more, so no event before the last of them can take part
+    last = (
+        executed.join(step_keys, "parent_key", "left_semi").orderBy(F.desc("event_time")).limit(20)
+        .agg(F.min("event_time").alias("event_time"))
+    )
+    standard = (
+        executed.filter(F.col("event_time") >= last.scalar())
+        .join(step_keys, "parent_key")
+        .withColumn("event_type", F.lit("S5000F Event"))
+        .select(*narrow)
+    )
+    latest = (F.desc("event_time"), F.col("event_type"), F.col("event_id"))
+    few = settle(application.union(standard).orderBy(*latest).limit(20))
+    ours = few.filter(F.col("event_type") == "Application Event")
+    theirs = few.filter(F.col("event_type") == "S5000F Event")
+    shown = ("event_type", "event_id", "description", "event_time", "asset_name", "work_description", "minutes")
+
+    few_orders = _matching(orders, "parent_key", ours, "parent_key")
+    few_actions = _matching(action, "id", ours, "event_id")
+    requests = _matching(_requests(tables, "description"), "request_id", few_orders, "work_request_id")
+    application = (
+        ours.join(few_actions.select(F.col("id").alias("event_id"), "description", _duration().alias("minutes")), "event_id")
+        .join(few_orders, "parent_key")
+        .join(_matching(_asset_names(tables), "asset_id", few_orders, "asset_id"), "asset_id")
         .join(
-            tables("silver_s5000f.product_instance").select("product_instance_id", F.col("name").alias("asset_name")),
-            "product_instance_id",
+            requests.select(F.col("request_id").alias("work_request_id"), F.col("description").alias("work_description")),
+            "work_request_id", "left",
         )
+        .select(*shown)
     )
+    few_tasks = _matching(tasks, "parent_key", theirs, "parent_key")
+    few_steps = _matching(step, "task_step_id", theirs, "event_id")
+    failures = _matching(_failure_text(tables), "functional_failure_id", few_tasks, "functional_failure_id")
     standard = (
-        tables("silver_s5000f.maintenance_task_step")
-        .select(
-            F.lit("S5000F Event").alias("event_type"),
-            F.col("task_step_id").alias("event_id"),
-            "maintenance_task_id",
-            "description",
-            _duration().alias("minutes"),
+        theirs.join(
+            few_steps.select(F.col("task_step_id").alias("event_id"), "description", _duration().alias("minutes")), "event_id"
+        )
+        .join(few_tasks, "parent_key")
+        .join(_matching(instances, "product_instance_id", few_tasks, "product_instance_id"), "product_instance_id")
+        .join(
+            failures.select("functional_failure_id", F.col("failure_description").alias("work_description")),
+            "functional_failure_id", "left",
         )
-        .join(executed, "maintenance_task_id")
-        .select(*event)
+        .select(*shown)
     )
-    latest = (F.desc("event_time"), F.col("event_type"), F.col("event_id"))
-    few = settle(application.union(standard).orderBy(*latest).limit(20))
-    requests = _matching(_requests(tables, "description"), "request_id", few, "text_key")
-    failures = _matching(_failure_text(tables), "functional_failure_id", few, "text_key")
-    texts = requests.select(
-        F.lit("Application Event").alias("event_type"),
-        F.col("request_id").alias("text_key"),
-        F.col("description").alias("work_description"),
-    ).union(failures.select(F.lit("S5000F Event"), "functional_failure_id", "failure_description"))
     return (
-        few.join(texts, ["event_type", "text_key"], "left")
-        .select(
-            "event_type",
-            "event_id",
-            "description",
-            "event_time",
-            "asset_name",
-            "work_description",
-            _round(F.col("minutes")).alias("duration_minutes"),
-        )
+        application.union(standard)
+        .withColumn("duration_minutes", _round(F.col("minutes")))
+        .drop("minutes")
         .orderBy(*latest)
     )
 
@@ -734,7 +749,7 @@ def n23(tables: Tables, system: str = SYSTEM) -> DataFrame:
             "asset_id", few, "asset_id",
         )
     )
-    keys = F.broadcast(instances.select("asset_id", "product_instance_id"))
+    keys = instances.select("asset_id", "product_instance_id")
     tasks = (
         tables("silver_s5000f.maintenance_task")
         .select("maintenance_task_id", "product_instance_id")
@@ -747,8 +762,11 @@ def n23(tables: Tables, system: str = SYSTEM) -> DataFrame:
         .join(keys, "product_instance_id", "left_semi")
         .drop("product_instance_id")
     )
+    steps = _matching(
+        tables("silver_s5000f.maintenance_task_step"), "maintenance_task_id", tasks, "maintenance_task_id"
+    )
     stepped = tasks.join(events, F.col("maintenance_task_id") == F.col("event_task"), "left").join(
-        _steps_per_task(tables("silver_s5000f.maintenance_task_step")),
+        _steps_per_task(steps),
         (F.col("maintenance_task_id") == F.col("step_task")) & F.col("event_task").isNotNull(),
         "left",
     )

@@ -45,14 +45,15 @@ def local_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``.
 
-    A temporary folder is made only for local masters, where driver and executors are one process; a
-    cluster without the setting is an error, because executors could not read what another one wrote.
+    A temporary folder is made, and set for the session, only for local masters, where driver and executors are one
+    process; a cluster without either is an error, because executors could not read what another one wrote.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="maintlake-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        named = tempfile.mkdtemp(prefix="maintlake-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")

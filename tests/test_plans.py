@@ -80,14 +80,16 @@ def shuffled_records(df):
     return found
 
 
-def test_raw_events_are_read_without_payload_where_only_keys_count(spark, tmp_path):
+def test_a_batch_is_read_and_shuffled_once_for_new_rows_and_changed_keys(spark, tmp_path):
     schema = "pk_id string, op string, event_ts string, payload_json string, source_system string"
-    events = spark.createDataFrame([("a", "u", "2024", "{}", "s")], schema)
+    events = spark.createDataFrame([("a", "u", "2024", "{}", "s"), ("b", "c", "2024", "{}", "s")], schema)
     events.write.parquet(str(tmp_path / "events"))
     bronze = spark.read.parquet(str(tmp_path / "events"))
-    existing = resolve_cdc(bronze, None, AFTER["asset"])
-    plan = plan_of(resolve_cdc(bronze, existing, AFTER["asset"]), "formatted")
-    assert "ReadSchema: struct<pk_id:string,op:string>" in plan
+    resolve_cdc(bronze, None, AFTER["asset"]).write.parquet(str(tmp_path / "state"))
+    merged = resolve_cdc(bronze, spark.read.parquet(str(tmp_path / "state")), AFTER["asset"])
+    merged.collect()
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("/events]") == 1 and "ReusedExchange" in plan
 
 
 def test_filters_and_columns_reach_the_scan(spark):

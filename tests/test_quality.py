@@ -57,14 +57,13 @@ def test_creation_report(spark, bronze):
     assert as_dicts(quality.creation_report(df, "Asset")) == [{"entity": "Asset", "key_count": 2, "not_created_first": 1}]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 3, 50, 10_000_000])
-@pytest.mark.parametrize("bucket_chars", [10, 13, 19])
-def test_previous_value_equals_a_plain_lag(spark, hot_rows, bucket_chars):
-    """A key holds a third of all rows; splitting it must not change the result."""
+@pytest.mark.parametrize("seconds", [3_000, 200_000, 90_000_000])
+def test_previous_value_equals_a_plain_lag(spark, seconds):
+    """A key holds a third of all rows, within an hour or over years; its hours must not change the result."""
     events = spark.range(300).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 20)).alias("pk_id"),
         F.date_format(
-            F.timestamp_seconds(F.lit(1_700_000_000) + F.hash("id") % 200_000), "yyyy-MM-dd'T'HH:mm:ss"
+            F.timestamp_seconds(F.lit(1_700_000_000) + F.hash("id") % seconds), "yyyy-MM-dd'T'HH:mm:ss"
         ).alias("event_ts"),
         F.col("id").alias("n"),
         F.when(F.col("id") % 7 > 0, F.concat(F.lit("s"), F.col("id") % 5)).alias("status"),
@@ -72,10 +71,28 @@ def test_previous_value_equals_a_plain_lag(spark, hot_rows, bucket_chars):
     plain = events.withColumn(
         "previous", F.lag("status").over(Window.partitionBy("pk_id").orderBy("event_ts", "n"))
     )
-    split = quality.with_previous(events, "pk_id", "event_ts", "status", ["n"], hot_rows, bucket_chars)
+    split = quality.with_previous(events, "pk_id", "event_ts", "status", ["n"])
     assert sorted(map(repr, split.select(plain.columns).collect())) == sorted(map(repr, plain.collect()))
 
 
+def test_events_without_a_key_have_no_predecessor(spark):
+    rows = [(None, "2024-01-15T01", "a"), (None, "2024-01-15T01", "b"), (None, "2024-01-15T02", "c"),
+            ("", "2024-01-15T01", "d"), ("", None, "e"), ("", "2024-01-15T09", None)]
+    df = spark.createDataFrame(rows, "pk_id string, event_ts string, status string")
+    found = {r["status"]: r["previous"] for r in quality.with_previous(df, "pk_id", "event_ts", "status").collect()}
+    assert found == {"a": None, "b": None, "c": None, "e": None, "d": "e", None: "d"}
+
+
+def test_lifecycle_reads_its_events_once(spark, tmp_path):
+    spark.range(50).selectExpr(
+        "concat('k', id % 5) AS pk_id", "concat('2024-01-15T0', id % 9) AS event_ts", "if(id % 2 = 0, 'planned', 'completed') AS status"
+    ).write.parquet(str(tmp_path / "events"))
+    report = quality.transition_report(spark.read.parquet(str(tmp_path / "events")), "work_order")
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
 def test_transitions(spark):
     rows = [("o", 1, "planned"), ("o", 2, "in_progress"), ("o", 3, "in_progress"), ("o", 4, "completed"),
             ("p", 1, "planned"), ("p", 2, "completed"), ("q", 1, "completed"), ("q", 2, None), ("q", 3, "planned")]
