@@ -25,3 +25,13 @@ def test_stream_equals_batch_over_late_and_deleted_keys(spark, tmp_path):
     whole = resolve_cdc(parse_envelopes(json_lines(spark, str(feed))), None, AFTER["asset"])
     assert as_dicts(whole.orderBy("id")) == found
     assert latest_events(parse_envelopes(json_lines(spark, str(feed)))).count() == 3
+
+
+def test_stream_reads_a_folder_of_part_files(spark, tmp_path):
+    import __spark_entry__
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    run = __spark_entry__.queries()["stream_latest_state"]
+    parts, single = (sorted(map(repr, run(spark, d).collect())) for d in (str(tmp_path), "/root/testdata/sf0.001"))
+    assert parts and parts == single
