@@ -21,7 +21,7 @@ from maintlake.operators.envelope import (  # noqa: E402
 )
 from maintlake.plans.lakehouse import Lakehouse, on_date  # noqa: E402
 from maintlake.plans.named import NAMED  # noqa: E402
-from maintlake.schemas import AFTER  # noqa: E402
+from maintlake.schemas import AFTER, TABLES  # noqa: E402
 from maintlake.session import apply_settings, shared_dir  # noqa: E402
 from maintlake.sources import binding, replica  # noqa: E402
 from maintlake.streaming.current_state import maintain_changes, read_latest  # noqa: E402
@@ -169,14 +169,12 @@ def dq_lifecycle(t: binding.BoundTables) -> DataFrame:
     return quality.transition_report(events, "maintenance_action", binding.ACTION_TIE)
 
 
+def _lifecycle(entity_table: str, events: Callable[[binding.BoundTables], DataFrame]):
+    return lambda t: quality.transition_report(events(t).withColumnRenamed("id", "pk_id"), entity_table)
+
+
 def dq_freshness(t: binding.BoundTables) -> DataFrame:
-    columns = {
-        "bronze.asset": "event_ts",
-        "silver.work_order": "last_event_ts",
-        "silver.maintenance_action": "last_event_ts",
-        "silver_s5000f.functional_failure": "reported_at",
-    }
-    return quality.freshness_report(t, columns, t.stamp)
+    return quality.freshness_report(t, TABLES, t.stamp)
 
 
 # --- facade -----------------------------------------------------------------------------------------
@@ -243,9 +241,9 @@ def _builders() -> dict[str, Callable[[binding.BoundTables], DataFrame]]:
         "dq_envelope": lambda t: envelope_report(_mixed_documents(t, with_actions=False)),
         "dq_creation": lambda t: quality.creation_report(t("bronze.asset"), "Asset", binding.ASSET_TIE),
         "dq_lifecycle": dq_lifecycle,
-        "dq_order_lifecycle": lambda t: quality.transition_report(
-            binding.work_order_events(t.raw("orders")).withColumnRenamed("id", "pk_id"), "work_order"
-        ),
+        "dq_order_lifecycle": _lifecycle("work_order", lambda t: binding.work_order_events(t.raw("orders"))),
+        "dq_request_lifecycle": _lifecycle("work_request", lambda t: binding.work_request_events(t.raw("orders"))),
+        "dq_asset_lifecycle": _lifecycle("asset", lambda t: binding.asset_events(t.raw("customer"), t.raw("nation"))),
         "dq_completed_actions": lambda t: quality.unfinished_actions(
             t("silver.work_order"), t("silver.maintenance_action")
         ),

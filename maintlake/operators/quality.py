@@ -214,18 +214,25 @@ def lineage_edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "dataset string, upstream string")
 
 
-def freshness_report(tables: Tables, columns: dict[str, str], as_of: str) -> DataFrame:
-    """Age of the newest row of each dataset against the freshness its layer promises."""
+def freshness_report(tables: Tables, names: Iterable[str], as_of: str) -> DataFrame:
+    """Age of each dataset's newest row at or before ``as_of`` against the freshness its layer promises.
+
+    Rows dated later are counted in ``future_rows``; they don't make a dataset fresh.
+    """
     reports = []
-    for table, column in columns.items():
-        limit = schemas.FRESHNESS_HOURS[table.split(".")[0]]
-        age = (F.unix_micros(parse_iso(F.lit(as_of))) - F.unix_micros(parse_iso("latest"))) / F.lit(3_600_000_000.0)
+    end = parse_iso(F.lit(as_of))
+    age = (F.unix_micros(end) - F.unix_micros(parse_iso("latest"))) / F.lit(3_600_000_000.0)
+    for table in names:
+        layer = table.split(".")[0]
+        limit, column = schemas.FRESHNESS_HOURS[layer], schemas.FRESHNESS_COLUMNS[layer]
+        at = parse_iso(column)
         reports.append(
             tables(table)
-            .agg(F.max(column).alias("latest"))
+            .agg(F.max(F.when(at <= end, F.col(column))).alias("latest"), F.count_if(at > end).alias("future_rows"))
             .select(
                 F.lit(table).alias("table_name"),
                 "latest",
+                "future_rows",
                 F.round(age, 6).alias("age_hours"),
                 F.lit(limit).cast("long").alias("limit_hours"),
                 F.coalesce(age <= limit, F.lit(False)).alias("is_fresh"),

@@ -208,3 +208,5 @@ LINEAGE = {
 
 # Promised freshness per layer, as the largest age in hours ("near real-time" read as one hour).
 FRESHNESS_HOURS = {"bronze": 1, "silver": 1, "silver_s5000f": 24, "gold": 24}
+# Column that tells how new a row of a layer is.
+FRESHNESS_COLUMNS = {"bronze": "event_ts", "silver": "last_event_ts", "silver_s5000f": "mapped_at", "gold": "computed_at"}

@@ -178,9 +178,23 @@ def _trace(table: str, cte: str, key: str, prefix: str, concept: str) -> str:
 
 
 def _fresh(table: str, cte: str, column: str, hours: int) -> str:
-    age = "date_diff('microsecond', strptime(latest[1:26], '%Y-%m-%dT%H:%M:%S.%f'), TIMESTAMP '2002-01-01') / 3600000000.0"
-    return f"""SELECT '{table}' AS table_name, latest, round({age}, 6) AS age_hours, {hours}::BIGINT AS limit_hours,
-        ({age}) <= {hours} AS is_fresh FROM (SELECT max({column}) AS latest FROM {cte})"""
+    at = "replace({0}, '+00:00', '')::TIMESTAMP"
+    age = f"date_diff('microsecond', {at.format('latest')}, TIMESTAMP '2002-01-01') / 3600000000.0"
+    return f"""SELECT '{table}' AS table_name, latest, future_rows, round({age}, 6) AS age_hours, {hours}::BIGINT AS limit_hours,
+        coalesce(({age}) <= {hours}, false) AS is_fresh
+        FROM (SELECT max(x) FILTER ({at.format('x')} <= TIMESTAMP '2002-01-01') AS latest,
+              count(*) FILTER ({at.format('x')} > TIMESTAMP '2002-01-01') AS future_rows FROM (SELECT {column} AS x FROM {cte}))"""
+
+
+def _changes(cte: str, allowed: str, *ways: str) -> str:
+    """Status changes on the way to each row's last status."""
+    paths = ", ".join(f"('{w.split()[-1]}', {w.split()})" for w in ways)
+    pairs = ", ".join(f"'{pair}'" for pair in allowed.split())
+    return f"""SELECT from_status, to_status, count(*) AS changes, from_status || '>' || to_status IN ({pairs}) AS allowed
+        FROM (SELECT lag(reached) OVER (PARTITION BY id ORDER BY step) AS from_status, reached AS to_status
+              FROM (SELECT id, unnest(way) AS reached, unnest(range(len(way))) AS step
+                    FROM {cte} JOIN (VALUES {paths}) w(last_status, way) ON status = last_status))
+        WHERE from_status <> to_status GROUP BY from_status, to_status"""
 
 
 _FILLED = "round(100.0 * count({0}) / count(*), 6)::DOUBLE AS field_{1}_pct"
@@ -497,17 +511,34 @@ QUERIES: dict[str, str] = {
         FROM (SELECT lag(live) OVER (PARTITION BY pk_id ORDER BY event_ts, l_partkey, l_suppkey) AS from_status,
               live AS to_status FROM (SELECT *, CASE WHEN op <> 'd' THEN status END AS live FROM feed))
         WHERE from_status <> to_status GROUP BY from_status, to_status""",
-    "dq_order_lifecycle": """SELECT * FROM (SELECT 'planned' AS from_status, 'in_progress' AS to_status,
-        count(*) AS changes, true AS allowed FROM wo WHERE status <> 'planned'
-        UNION ALL SELECT 'in_progress', 'completed', count(*), true FROM wo WHERE status = 'completed')""",
+    "dq_order_lifecycle": _changes(
+        "wo", "planned>in_progress planned>cancelled in_progress>completed in_progress>cancelled",
+        "planned", "planned in_progress", "planned in_progress completed",
+    ),
+    "dq_request_lifecycle": _changes(
+        "wr", "open>approved open>rejected approved>closed", "open", "open approved", "open approved closed"
+    ),
+    "dq_asset_lifecycle": _changes(
+        "asset", "operational>degraded operational>failed degraded>operational failed>operational",
+        "operational", "operational degraded", "operational failed",
+    ),
     "dq_completed_actions": """SELECT count(DISTINCT wo.id) AS completed_orders,
         count(DISTINCT CASE WHEN ma.status <> 'completed' THEN wo.id END) AS with_unfinished_actions,
         count(*) FILTER (ma.status <> 'completed') AS unfinished_actions
         FROM wo LEFT JOIN ma ON ma.work_order_id = wo.id WHERE wo.status = 'completed'""",
     "dq_freshness": _union(
-        _fresh("bronze.asset", "ev", "event_ts", 1), _fresh("silver.work_order", "wo", "last_event_ts", 1),
-        _fresh("silver.maintenance_action", "ma", "last_event_ts", 1),
-        _fresh("silver_s5000f.functional_failure", "ff", "reported_at", 24),
+        _fresh("bronze.asset", "ev", "event_ts", 1), _fresh("bronze.maintenance_action", "feed", "event_ts", 1),
+        _fresh("bronze.work_request", f"({_order_feed('wr', 'WorkRequest', 'open', 'approved')})", "event_ts", 1),
+        _fresh("bronze.work_order", f"({_order_feed('wo', 'WorkOrder', 'planned', 'in_progress')})", "event_ts", 1),
+        *(_fresh(f"silver.{t}", c, "last_event_ts", 1) for t, c in (
+            ("asset", "asset"), ("work_request", "wr"), ("work_order", "wo"), ("maintenance_action", "ma"))),
+        *(_fresh(f"silver_s5000f.{t}", c, "mapped_at", 24) for t, c in (
+            ("product_instance", "pi"), ("functional_failure", "ff"), ("maintenance_task", "mt"),
+            ("maintenance_task_step", "mts"), ("maintenance_event", "me"))),
+        *(_fresh(f"gold.{t}", c, "computed_at", 24) for t, c in (
+            ("asset_availability", "ga"), ("maintenance_history", "mh"), ("work_order_backlog", "backlog"),
+            ("mtbf_metrics", "mtbf"), ("asset_maintenance_summary", "summary"), ("asset_mtbf_days", "mtbfdays"),
+            ("backlog_detail", "detail"))),
     ),
     "dq_traceability": _union(
         _trace("product_instance", "pi", "product_instance_id", "PI", "ProductInstance"),

@@ -117,10 +117,13 @@ def test_lineage_and_freshness(spark):
     assert len(edges) == sum(map(len, LINEAGE.values()))
     df = spark.createDataFrame([("2024-01-01T00:00:00+00:00",), ("2024-01-01T09:30:00+00:00",)], "last_event_ts string")
     tables = only(spark, silver_asset=df, silver_work_order=df.limit(0))
-    columns = {"silver.asset": "last_event_ts", "silver.work_order": "last_event_ts"}
-    report = as_dicts(quality.freshness_report(tables, columns, "2024-01-01T10:00:00+00:00"))
-    assert [(r["age_hours"], r["is_fresh"]) for r in report] == [(0.5, True), (None, False)]
-    assert not as_dicts(quality.freshness_report(tables, columns, "2024-01-02T10:00:00+00:00"))[0]["is_fresh"]
+    names = ["silver.asset", "silver.work_order"]
+    report = as_dicts(quality.freshness_report(tables, names, "2024-01-01T10:00:00+00:00"))
+    assert [(r["age_hours"], r["future_rows"], r["is_fresh"]) for r in report] == [(0.5, 0, True), (None, 0, False)]
+    assert not as_dicts(quality.freshness_report(tables, names, "2024-01-02T10:00:00+00:00"))[0]["is_fresh"]
+    # a row of the future does not hide that the last known one is old
+    early = as_dicts(quality.freshness_report(tables, names, "2024-01-01T09:00:00+00:00"))[0]
+    assert (early["age_hours"], early["future_rows"], early["is_fresh"]) == (9.0, 1, False)
 
 
 def test_traceability(spark):
