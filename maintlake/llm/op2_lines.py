@@ -251,21 +251,24 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20) -> DataFram
     found = components(line_links(texts, edits, least))
     places = _places(texts)
     place = F.struct("doc_id", "text_key", "line")
-    first = places.groupBy("node", "check").agg(F.min(place).alias("first"))
-    linked = saved(first.join(found, "node"))
-    leaders = linked.groupBy("component").agg(F.min("first").alias("leader"))
+    first = places.groupBy("node", "check").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
+    # a line seen once and without near copies stays: most lines end here
+    met = saved(first.join(found, "node", "left").filter("copies > 1 OR component IS NOT NULL"))
+    leaders = met.filter("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("leader"))
     # lines with near copies: their class's first place; all others: their own
-    near = saved(linked.join(leaders, "component").select("node", "check", "leader"))
-    first = first.join(near, ["node", "check"], "left").select("node", "check", F.coalesce("leader", "first").alias("first"))
+    near = met.join(leaders, "component").select("node", "check", F.col("leader").alias("first"))
+    first = saved(near.unionAll(met.filter("component IS NULL").select("node", "check", "first")))
+    level = possible(first.select(F.col("node").alias("key")))
     gone = (
-        places.join(first, ["node", "check"])
+        thinned(places, F.col("node"), level)
+        .join(first, ["node", "check"])
         .filter(F.col("first") != place)
         .groupBy("doc_id", "text_key")
         .agg(F.sort_array(F.collect_set("line")).alias("removed"))
     )
-    counts = texts.select(
-        "doc_id", "text_key", F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long").alias("n_lines")
-    )
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    n_lines = F.when(F.octet_length("text") > 0, breaks + 1).otherwise(0).cast("long")
+    counts = texts.select("doc_id", "text_key", n_lines.alias("n_lines"))
     return counts.join(gone, ["doc_id", "text_key"], "left").select(
         F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"),
         "text_key",
