@@ -157,6 +157,10 @@ PRIMARY_KEYS = {
 
 # Enumerations of the source system.
 ACCEPTED_VALUES = {
+    ("bronze.asset", "op"): ("c", "u", "d"),
+    ("bronze.work_request", "op"): ("c", "u", "d"),
+    ("bronze.work_order", "op"): ("c", "u", "d"),
+    ("bronze.maintenance_action", "op"): ("c", "u", "d"),
     ("silver.asset", "status"): ("operational", "degraded", "failed"),
     ("silver.work_request", "status"): ("open", "approved", "rejected", "closed"),
     ("silver.work_request", "priority"): ("low", "medium", "high", "critical"),

@@ -485,6 +485,9 @@ QUERIES: dict[str, str] = {
         0::BIGINT AS null_keys, (SELECT count(*) FROM (SELECT 1 FROM feed GROUP BY pk_id HAVING count(*) > 1))
         AS duplicate_keys FROM feed""",
     "dq_accepted": _union(
+        _accepted("bronze.asset", "ev", "op", "c u d"), _accepted("bronze.maintenance_action", "feed", "op", "c u d"),
+        _accepted("bronze.work_request", f"({_order_feed('wr', 'WorkRequest', 'open', 'approved')})", "op", "c u d"),
+        _accepted("bronze.work_order", f"({_order_feed('wo', 'WorkOrder', 'planned', 'in_progress')})", "op", "c u d"),
         _accepted("silver.asset", "asset", "status", "operational degraded failed"),
         _accepted("silver.work_request", "wr", "status", "open approved rejected closed"),
         _accepted("silver.work_request", "wr", "priority", "low medium high critical"),
