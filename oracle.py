@@ -481,9 +481,7 @@ QUERIES: dict[str, str] = {
         _keys("silver_s5000f.maintenance_event", "me", "maintenance_event_id"),
         _keys("silver_s5000f.maintenance_task_step", "mts", "task_step_id"),
     ),
-    "dq_duplicate_keys": """SELECT 'bronze.maintenance_action' AS table_name, 'pk_id' AS key_column, count(*) AS total_rows,
-        0::BIGINT AS null_keys, (SELECT count(*) FROM (SELECT 1 FROM feed GROUP BY pk_id HAVING count(*) > 1))
-        AS duplicate_keys FROM feed""",
+    "dq_duplicate_keys": _keys("bronze.maintenance_action", "feed", "pk_id"),
     "dq_accepted": _union(
         _accepted("bronze.asset", "ev", "op", "c u d"), _accepted("bronze.maintenance_action", "feed", "op", "c u d"),
         _accepted("bronze.work_request", f"({_order_feed('wr', 'WorkRequest', 'open', 'approved')})", "op", "c u d"),
