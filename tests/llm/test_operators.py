@@ -376,6 +376,38 @@ def test_jaccard_groups_against_brute_force(spark, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == {i: (len(sets[i]), group[i]) for i, _ in docs}
 
 
+def linked_groups(docs, size, percent):
+    """The smallest id of each document's component, by all pairs."""
+    sets = {i: shingles(t, size) for i, t in docs}
+    group = {i: i for i in sets}
+    for (i, a), (j, b) in itertools.combinations(sets.items(), 2):
+        if a and b and 100 * len(a & b) >= percent * len(a | b) and group[i] != group[j]:
+            old, new = max(group[i], group[j]), min(group[i], group[j])
+            group = {k: new if v == old else v for k, v in group.items()}
+    return group
+
+
+def extended(size, counts, seed):
+    """Texts of so many shingles, each with a copy that has a word more: at the end, or at the front, or (long ones) inside."""
+    docs = []
+    for n in counts:
+        for where in ("end", "front", "inside"):
+            for k in range(3):
+                words = [f"t{seed}_{n}_{where}_{k}_{x}" for x in range(n + size - 1)]
+                at = {"end": len(words), "front": 0, "inside": len(words) // 2}[where]
+                docs += [" ".join(words), " ".join([*words[:at], "more", *words[at:]])]
+    return list(enumerate(docs))
+
+
+def test_groups_of_texts_with_different_matches_against_brute_force(spark):
+    docs = extended(4, (1, 2, 3, 6, 7, 12, 19, 20, 30, 40, 59, 60, 61, 90, 150, 300), 1)
+    want = linked_groups(docs, 4, 85)
+    assert len(docs) - len(set(want.values())) > 80
+    for block in (800_000, 300):
+        out = op10_jaccard.jaccard_components(table(spark, docs), block_shingles=block).collect()
+        assert {r.doc_id: r.component_id for r in out} == want
+
+
 def test_one_of_each_group_stays(spark):
     text = prose(80, 1)
     docs = table(spark, [(5, text), (3, text + " end"), (3, text + " end"), (9, prose(80, 2)), (1, None), (2, ""), (None, "a b")])
