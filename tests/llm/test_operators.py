@@ -417,6 +417,23 @@ def test_one_of_each_group_stays(spark):
     assert op10_jaccard.jaccard_components(table(spark, [])).count() == 0
 
 
+def test_pipeline_near_duplicates_against_brute_force(spark):
+    import corpus_pipeline
+
+    docs = extended(5, (1, 2, 4, 5, 14, 15, 30, 44, 45, 60, 100, 200), 2)
+    rng = random.Random(9)
+    for n in (9, 18, 40, 90):
+        words = prose(n, n, 3000).split()
+        for _ in range(8):
+            words.insert(rng.randrange(len(words) + 1), f"n{rng.randrange(10**6)}")
+            docs.append((len(docs), " ".join(words)))
+    group = linked_groups(docs, 5, 80)
+    assert len(docs) - len(set(group.values())) > 50
+    out = corpus_pipeline.near_duplicates(spark, table(spark, docs), SF).collect()
+    texts = dict(docs)
+    assert {r.doc_id: r.text for r in out} == {i: texts[i] for i in group.values()} and len(out) == len(set(group.values()))
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
