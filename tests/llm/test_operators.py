@@ -468,3 +468,32 @@ def test_pipeline_stages_chain(spark):
         assert 0 < n <= before, name
         before = n
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == before
+
+
+def test_line_and_token_stages_against_python(spark):
+    import corpus_pipeline
+
+    rng = random.Random(10)
+    base = ["".join(rng.choice("abcdefgh ü") for _ in range(rng.randrange(24, 50))) for _ in range(12)]
+    docs = [(i, "\n".join(edited(rng.choice(base), rng.randrange(0, 3), rng) for _ in range(3))) for i in range(25)]
+    values = sorted({x for _, t in docs for x in t.split("\n")})
+    leader = {x: x for x in values}
+    for a, b in itertools.combinations(values, 2):
+        if distance(a, b) <= 2 and leader[a] != leader[b]:
+            old, new = leader[a], leader[b]
+            leader = {x: new if v == old else v for x, v in leader.items()}
+    seen, want = set(), {}
+    for i, t in docs:
+        kept = []
+        for x in t.split("\n"):
+            if leader[x] not in seen:
+                seen.add(leader[x])
+                kept.append(x)
+        if kept:
+            want[i] = "\n".join(kept)
+    assert 0 < len(want) < len(docs)
+    out = corpus_pipeline.line_dedup(spark, table(spark, docs), SF)
+    assert {r.doc_id: r.text for r in out.collect()} == want
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    ids = {r.doc_id: list(r.token_ids) for r in corpus_pipeline.token_ids(spark, out, SF).collect()}
+    assert ids == {i: model.encode(t, add_bos=True, add_eos=True) for i, t in want.items()}
