@@ -276,6 +276,23 @@ def test_recall_of_the_registered_search(spark):
     assert np.mean(hits) >= 0.9
 
 
+def test_recall_of_a_stopped_walk(spark):
+    """The registered parameters but ``least``, so that walks stop at half, on 64 dimensions."""
+    rng = np.random.default_rng(7)
+    tables = [np.stack(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").toPandas().embedding).astype(float)]
+    tables.append(rng.normal(size=(9000, 64)))
+    for x in tables:
+        frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+        got = op5_neighbours.neighbours(frame, least=1).toPandas().groupby("query_id").vec_id.agg(set)
+        hits = []
+        for q in range(0, len(x), 20):
+            score = x @ x[q]
+            score[q] = -np.inf
+            hits.append(len(set(np.argsort(-score, kind="stable")[:20].tolist()) & got[q]) / 20)
+        print(f"recall at half of {len(x)} vectors of {x.shape[1]} dimensions: {np.mean(hits):.4f} over {len(hits)} queries")
+        assert 0.85 <= np.mean(hits) < 1
+
+
 # --- 7 ---------------------------------------------------------------------------------------------
 
 
