@@ -6,7 +6,8 @@ length, segment number and segment, and probes with its substrings at those plac
 have. Lines that meet on a key make a family (a star a key, not its pairs); families are compared in blocks, where pairs
 that share a key and aren't linked yet are verified by a banded bit-parallel edit distance.
 
-A line's number is the 64-bit code of its characters; equal lines are told by 128 bits.
+A line's number is half of a 128-bit cryptographic digest of its bytes; equal lines are told by the whole digest. Codes of
+segments only propose pairs, which are then verified on the lines themselves.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from maintlake.llm.bloom import possible, thinned
 from maintlake.llm.links import Groups, components, each_group, in_blocks
 from maintlake.llm.shared import NULL_ID, known_id, require, saved
-from maintlake.llm.textops import U, Rolling, mix, text_blocks
+from maintlake.llm.textops import U, Rolling, digests, mix, text_blocks
 
 _SPACES = (9, 10, 11, 12, 13, 32)
 
@@ -30,12 +31,21 @@ _SPACES = (9, 10, 11, 12, 13, 32)
 class Lines:
     """Lines that aren't blank, of consecutive texts, as stretches of code points."""
 
+    data: np.ndarray
     points: np.ndarray
     owner: np.ndarray
     number: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
 
+    def digests(self) -> np.ndarray:
+        at = np.append(np.flatnonzero((self.data & 0xC0) != 0x80), self.data.size)
+        return digests(self.data, at[self.starts], at[self.ends]).view(np.int64)
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the lines, and where each occurs first."""
+        return np.unique(self.digests()[:, 0], return_index=True)
+
 
 def find_lines(data: np.ndarray, offsets: np.ndarray) -> Lines:
     points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
@@ -51,7 +61,7 @@ def find_lines(data: np.ndarray, offsets: np.ndarray) -> Lines:
     number = np.arange(owner.size) - np.searchsorted(owner, owner)
     ink = np.append(0, np.cumsum(~np.isin(points, _SPACES)))
     solid = ink[ends] > ink[starts]
-    return Lines(points, owner[solid], number[solid], starts[solid], ends[solid])
+    return Lines(data, points, owner[solid], number[solid], starts[solid], ends[solid])
 
 
 def segments(length: np.ndarray, parts: int, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +153,7 @@ def _places(texts: DataFrame) -> DataFrame:
             ids, keys = np.asarray(batch.column(0)), np.asarray(batch.column(1))
             for first, _, data, offsets in text_blocks(batch.column(2)):
                 x = find_lines(data, offsets)
-                one, two = (Rolling(x.points, s).codes(x.starts, x.ends).view(np.int64) for s in (0, 1))
+                one, two = x.digests().T
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in (one, two, ids[first + x.owner], keys[first + x.owner], x.number)],
                     names=["node", "check", "doc_id", "text_key", "line"],
@@ -159,11 +169,10 @@ def _keys(texts: DataFrame, edits: int, least: int) -> DataFrame:
         for batch in batches:
             for _, _, data, offsets in text_blocks(batch.column(0)):
                 x = find_lines(data, offsets)
-                rolling = Rolling(x.points)
-                node, first = np.unique(rolling.codes(x.starts, x.ends), return_index=True)
+                node, first = x.distinct()
                 long = x.ends[first] - x.starts[first] >= least
-                first, node = first[long], node[long].view(np.int64)
-                line, key = line_keys(rolling, x.starts[first], x.ends[first], edits)
+                first, node = first[long], node[long]
+                line, key = line_keys(Rolling(x.points), x.starts[first], x.ends[first], edits)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(node[line])], names=["token", "node"]
                 )
@@ -178,10 +187,10 @@ def _wanted_lines(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for _, _, data, offsets in text_blocks(batch.column(0)):
                 x = find_lines(data, offsets)
-                node, first = np.unique(Rolling(x.points).codes(x.starts, x.ends), return_index=True)
+                node, first = x.distinct()
                 value = [x.points[a:b].tobytes().decode("utf-32-le") for a, b in zip(x.starts[first], x.ends[first])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node.view(np.int64)), pa.array(value, pa.string())], names=["node", "value"]
+                    [pa.array(node), pa.array(value, pa.string())], names=["node", "value"]
                 )
 
     return texts.select("text").mapInArrow(rows, "node long, value string")

@@ -7,8 +7,9 @@ but the first of equals are repeats. Words that repeats cover are removed.
 
 Ranks are random but for very frequent runs (found by counting all runs of words in a sketch of fixed size), which come
 last. A passage that many documents share is therefore not gathered in one bucket together with everything around
-it. Equal strings of a task are merged before they travel: only the first goes, the others are repeats already, so
-a passage in a third of all documents reaches its bucket once a task.
+it. Equal strings of a task, told by 128-bit cryptographic digests, are merged before they travel: only the first goes, the
+others are repeats already, so a passage in a third of all documents reaches its bucket once a task. In a bucket, equal
+windows are compared byte by byte.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from maintlake.llm.bloom import possible
 from maintlake.llm.shared import NULL_ID, known_id, require, saved
-from maintlake.llm.textops import U, Words, find_words, run_codes, span_codes, text_blocks
+from maintlake.llm.textops import U, Words, digests, find_words, run_codes, text_blocks
 
 SKETCH_BITS = 16
 #: Longest string of windows, and the packed bytes that a task gathers before it merges and sends them.
@@ -61,7 +62,7 @@ def frequent_runs(docs: DataFrame, mini: int, times: float = 8.0) -> np.ndarray:
 
 def _runs(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of runs of ``length`` words by first word, and which runs stay inside one text."""
-    runs = run_codes(words.codes(), length)
+    runs = run_codes(words.hashes(), length)
     last = np.repeat(words.first[1:], words.counts)[: runs.size]
     return runs, np.arange(runs.size) + length <= last
 
@@ -127,8 +128,7 @@ def _packer(window: int, mini: int, often: np.ndarray, buckets: int):
                 left, right = starts[begin], ends[begin + n + window - 2]
                 of = words.owner[begin]
                 place = ids[first + of], keys[first + of], begin - words.first[of], n
-                codes = span_codes(plain, left, right), span_codes(plain, left, right, 1)
-                held.append((*codes, *place, mine, right - left, gathered(plain, left, right)))
+                held.append((*digests(plain, left, right).T, *place, mine, right - left, gathered(plain, left, right)))
                 held_bytes += held[-1][-1].size
                 if held_bytes >= GATHER_BYTES:
                     yield from flushed(held)
@@ -183,7 +183,7 @@ def later_windows(ids, keys, starts, n, sizes, data: np.ndarray, window: int):
         hi = max(lo + 1, int(np.searchsorted(stops, base + (1 << 20), "right")))
         words = find_words(data[base : stops[hi - 1]], np.append(0, stops[lo:hi] - base))
         at = np.repeat(words.first[:-1], n[lo:hi]) + within[of.searchsorted(lo) : of.searchsorted(hi)]
-        one, two = (run_codes(words.codes(seed), window, seed)[at] for seed in (0, 1))
+        one, two = (run_codes(words.hashes(seed), window, seed)[at] for seed in (0, 1))
         parts.append((one, two, words.starts[at] + base, words.ends[at + window - 1] + base))
         lo = hi
     one, two, left, right = (np.concatenate(x) for x in zip(*parts))

@@ -1,11 +1,15 @@
 """Whole batches of texts as numpy arrays: words, their codes, and codes of runs of words.
 
 A word is ``[^\\x20\\x09-\\x0D]+``, found on UTF-8 bytes, where those separators never occur inside another
-character. Codes are 64-bit; what must be exact is compared by the bytes themselves by the callers.
+character.
+
+:class:`Rolling` codes are cheap but linear: certain different stretches of a thousand characters share them whatever the
+multiplier. They only propose candidates. What is merged, removed or linked is told by ``hashes`` or ``digests``.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -57,6 +61,37 @@ def span_codes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: i
     return Rolling(values, seed).codes(starts, ends)
 
 
+#: Stretches of more bytes than this are hashed one by one.
+_LANED = 512
+
+
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """128-bit cryptographic digests of stretches of bytes, as two numbers a row."""
+    raw = memoryview(np.ascontiguousarray(data))
+    found = b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist()))
+    return np.frombuffer(found, U).reshape(-1, 2)
+
+
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit codes of stretches of bytes: eight bytes a step, mixed before the next ones come in."""
+    sizes = ends - starts
+    padded = np.append(data, np.zeros(8, np.uint8))
+    lanes = np.ndarray((data.size + 1,), np.dtype("<u8"), padded.data, strides=(1,))
+    code = mix(sizes.astype(U) + U(_BASES[seed]))
+    left = np.flatnonzero((sizes > 0) & (sizes <= _LANED))
+    step = 0
+    while left.size:
+        rest = np.minimum(sizes[left] - step, 8)
+        value = lanes[starts[left] + step] & (~U(0) >> ((8 - rest) * 8).astype(U))
+        code[left] = mix(code[left] * U(_BASES[1 - seed]) + value)
+        step += 8
+        left = left[sizes[left] > step]
+    long = np.flatnonzero(sizes > _LANED)
+    if long.size:
+        code[long] = digests(data, starts[long], ends[long])[:, seed]
+    return code
+
+
 def run_codes(codes: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """Codes of every ``length`` consecutive items, by place of the first."""
     n = codes.size - length + 1
@@ -91,6 +126,9 @@ class Words:
     def codes(self, seed: int = 0) -> np.ndarray:
         return span_codes(self.data, self.starts, self.ends, seed)
 
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        return hashes(self.data, self.starts, self.ends, seed)
+
     def joined(self, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words joined by one space each, as bytes, with each word's start and end in them (of kept words only)."""
         starts, ends = (self.starts, self.ends) if keep is None else (self.starts[keep], self.ends[keep])
