@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from maintlake.llm import op10_jaccard, op1_mixing, op2_lines, op3_pieces, op4_secrets, op5_neighbours, op6_exact_topk, op7_quality, op8_substrings, op9_urls
+from maintlake.llm import op10_jaccard, op11_variants, op12_negatives, op13_votes, op1_mixing, op2_lines, op3_pieces, op4_secrets, op5_neighbours, op6_exact_topk, op7_quality, op8_substrings, op9_urls
 from maintlake.llm.shared import documents
 
 
@@ -54,6 +54,18 @@ def op10_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_jaccard.jaccard_components(documents(spark, sf_dir))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_variants.spelling_variants(documents(spark, sf_dir))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_voted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_votes.voted_documents(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_line_dedup": op2_line_dedup,
@@ -65,6 +77,9 @@ QUERIES = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_url_filter": op9_url_filter,
     "op10_jaccard_groups": op10_jaccard_groups,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_voted_quality": op13_voted_quality,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL = {"op6_sorted_lists": op6_exact_topk.ORACLE, "op8_repeated_passages": op8_substrings.ORACLE, "op9_url_filter": op9_urls.ORACLE, "op10_jaccard_groups": op10_jaccard.ORACLE}
+ORACLE_SQL = {"op6_sorted_lists": op6_exact_topk.ORACLE, "op8_repeated_passages": op8_substrings.ORACLE, "op9_url_filter": op9_urls.ORACLE, "op10_jaccard_groups": op10_jaccard.ORACLE, "op12_hard_negatives": op12_negatives.ORACLE}
