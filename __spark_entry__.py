@@ -19,12 +19,14 @@ from maintlake.operators.envelope import (  # noqa: E402
     parse_envelopes,
     snapshot_diff,
 )
+from maintlake.plans.incremental import FrameLog, IncrementalRefresh  # noqa: E402
 from maintlake.plans.lakehouse import Lakehouse, on_date  # noqa: E402
 from maintlake.plans.named import NAMED  # noqa: E402
 from maintlake.schemas import AFTER, TABLES  # noqa: E402
 from maintlake.session import apply_settings, shared_dir  # noqa: E402
 from maintlake.sources import binding, replica  # noqa: E402
-from maintlake.streaming.current_state import maintain_changes, read_latest  # noqa: E402
+from maintlake.sources.bucketed import fold_events  # noqa: E402
+from maintlake.streaming.current_state import maintain_state, state_table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -75,8 +77,45 @@ def stream_latest_state(t: binding.BoundTables) -> DataFrame:
     work = f"{shared_dir(t.spark)}/stream_latest_state/{os.urandom(8).hex()}"
     # a stream reads folders or patterns; the pattern fits a single file and a folder of part files alike
     log = t.spark.readStream.schema(t.raw("events").schema).parquet(f"{t.sf_dir}/events.[p]arquet")
-    maintain_changes(binding.asset_feed(log), f"{work}/changes", f"{work}/checkpoint", binding.ASSET_TIE)
-    return current_rows(read_latest(t.spark, f"{work}/changes", binding.ASSET_TIE), binding.EVENT_AFTER)
+    feed = binding.asset_feed(log)
+    state = state_table(t.spark, f"{work}/state", feed.select(*binding.ASSET_TIE).schema, buckets=16)
+    maintain_state(feed, state, f"{work}/checkpoint", binding.ASSET_TIE)
+    return current_rows(state.read(), binding.EVENT_AFTER)
+
+
+def cdc_bucketed_state(t: binding.BoundTables) -> DataFrame:
+    """The feed since the split day first, then the older events arriving late, folded into a bucketed state table."""
+    bronze = t("bronze.asset")
+    older = F.col("event_date") < SPLIT
+    path = f"{shared_dir(t.spark)}/cdc_bucketed_state/{os.urandom(8).hex()}"
+    state = state_table(t.spark, path, bronze.select(*binding.ASSET_TIE).schema, buckets=16)
+    for batch in (bronze.filter(~older), bronze.filter(older)):
+        fold_events(state, batch.select(*state.schema.names), binding.ASSET_TIE)
+    return current_rows(state.read(), binding.EVENT_AFTER)
+
+
+def refresh_incremental(t: binding.BoundTables) -> DataFrame:
+    """Two rollups kept up to date load by load: the newer half of the feeds first, then the older half, arriving late."""
+    load = F.when(F.col("event_date") < "1996-01-01", "older").otherwise("newer")
+    feeds = {e: t(f"bronze.{e}").withColumn("load_id", load) for e in ("work_request", "work_order", "maintenance_action")}
+    ties = {"maintenance_action": binding.ACTION_TIE}
+    targets = ("gold.work_order_backlog", "gold.asset_maintenance_summary")
+    root = f"{shared_dir(t.spark)}/refresh_incremental/{os.urandom(8).hex()}"
+    for seen in ({e: f.filter("load_id = 'newer'") for e, f in feeds.items()}, feeds):
+        lake = IncrementalRefresh(t.spark, root, FrameLog(seen, ties), buckets=4, targets=targets)
+        lake.refresh(t.stamp)
+    backlog, summary = (lake(name) for name in targets)
+    none = F.lit(None)
+    return backlog.select(
+        F.lit("work_order_backlog").alias("rollup"), "asset_id", "priority", F.col("open_count").alias("orders"),
+        none.cast("long").alias("completed_actions"), F.col("oldest_planned_start").alias("noted_at"),
+    ).unionByName(
+        summary.select(
+            F.lit("asset_maintenance_summary").alias("rollup"), "asset_id", none.cast("string").alias("priority"),
+            F.col("work_order_count").alias("orders"), F.col("completed_actions_count").alias("completed_actions"),
+            F.col("last_maintenance_date").alias("noted_at"),
+        )
+    )
 
 
 def bronze_parse(t: binding.BoundTables) -> DataFrame:
@@ -214,6 +253,8 @@ def _builders() -> dict[str, Callable[[binding.BoundTables], DataFrame]]:
         "cdc_work_order_state": _entity_state("work_order", "work_order"),
         "backlog_from_feed": backlog_from_feed,
         "stream_latest_state": stream_latest_state,
+        "cdc_bucketed_state": cdc_bucketed_state,
+        "refresh_incremental": refresh_incremental,
         "bronze_parse": bronze_parse,
         "bronze_route_counts": bronze_route_counts,
         "bronze_date_slice": bronze_date_slice,

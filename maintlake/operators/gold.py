@@ -66,10 +66,15 @@ def with_priority(work_order: DataFrame, work_request: DataFrame | None) -> Data
 def work_order_backlog(work_order: DataFrame, work_request: DataFrame | None, computed_at: str) -> DataFrame:
     """Open orders by priority and asset. An unset planned start is '' and so counts as the oldest."""
     needed = open_orders(work_order).select("id", "asset_id", "work_request_id", "planned_start")
+    return backlog_groups(with_priority(needed, work_request), computed_at)
+
+
+def backlog_groups(open_order: DataFrame, computed_at: str) -> DataFrame:
+    """The backlog of open orders that have their priority already."""
     return _stamped(
-        with_priority(needed, work_request)
-        .groupBy("priority", "asset_id")
-        .agg(F.count("id").alias("open_count"), F.min("planned_start").alias("oldest_planned_start")),
+        open_order.groupBy("priority", "asset_id").agg(
+            F.count("id").alias("open_count"), F.min("planned_start").alias("oldest_planned_start")
+        ),
         "work_order_backlog",
         computed_at,
     )
@@ -85,15 +90,26 @@ def mtbf_metrics(instance: DataFrame, failure: DataFrame | None, computed_at: st
     if failure is None:
         joined = instance.withColumn("failures", F.lit(0).cast("long"))
     else:
-        per_instance = failure.groupBy("product_instance_id").agg(F.count("functional_failure_id").alias("failures"))
-        joined = instance.join(per_instance, "product_instance_id", "left")
+        joined = instance_failures(instance, failure)
+    return mtbf_of_totals(type_totals(joined), computed_at)
+
+
+def instance_failures(instance: DataFrame, failure: DataFrame) -> DataFrame:
+    """Instances with the number of their failures, null without any."""
+    per_instance = failure.groupBy("product_instance_id").agg(F.count("functional_failure_id").alias("failures"))
+    return instance.join(per_instance, "product_instance_id", "left")
+
+
+def type_totals(counted: DataFrame) -> DataFrame:
+    return counted.groupBy("type").agg(
+        F.count("product_instance_id").alias("asset_count"),
+        total(F.when(F.col("type").isNotNull(), F.col("failures"))).alias("failure_count"),
+    )
+
+
+def mtbf_of_totals(totals: DataFrame, computed_at: str) -> DataFrame:
     return _stamped(
-        joined.groupBy("type")
-        .agg(
-            F.count("product_instance_id").alias("asset_count"),
-            total(F.when(F.col("type").isNotNull(), F.col("failures"))).alias("failure_count"),
-        )
-        .withColumns(
+        totals.withColumns(
             {
                 "failures_per_asset": ratio(F.col("failure_count"), F.col("asset_count")),
                 "mtbf_proxy_hours": mtbf_proxy_hours(F.col("asset_count"), F.col("failure_count")),
@@ -106,16 +122,23 @@ def mtbf_metrics(instance: DataFrame, failure: DataFrame | None, computed_at: st
 
 def asset_maintenance_summary(work_order: DataFrame, action: DataFrame, computed_at: str) -> DataFrame:
     """Orders, completed actions and last finish per asset."""
+    return summary_of_orders(order_facts(work_order, action), computed_at)
+
+
+def order_facts(work_order: DataFrame, action: DataFrame) -> DataFrame:
+    """Orders with their finish and the number of their completed actions, null without any."""
     done = (
         action.filter(F.col("status") == "completed")
         .groupBy(F.col("work_order_id").alias("done_order"))
         .agg(F.count("id").alias("done_actions"))
     )
+    orders = work_order.select("id", "asset_id", blank_to_null("actual_end").alias("finished"))
+    return orders.join(done, F.col("id") == F.col("done_order"), "left").drop("done_order")
+
+
+def summary_of_orders(facts: DataFrame, computed_at: str) -> DataFrame:
     return _stamped(
-        work_order.select("id", "asset_id", blank_to_null("actual_end").alias("finished"))
-        .join(done, F.col("id") == F.col("done_order"), "left")
-        .groupBy("asset_id")
-        .agg(
+        facts.groupBy("asset_id").agg(
             F.count("id").alias("work_order_count"),
             total("done_actions").alias("completed_actions_count"),
             F.max(iso_date("finished")).alias("last_maintenance_date"),
@@ -145,8 +168,12 @@ def asset_mtbf_days(asset: DataFrame, work_request: DataFrame, computed_at: str)
 def backlog_detail(work_order: DataFrame, work_request: DataFrame | None, computed_at: str) -> DataFrame:
     """Every open order with its priority and its age in days."""
     needed = open_orders(work_order).select("id", "asset_id", "work_request_id", "status", "planned_start")
+    return detail_of_open(with_priority(needed, work_request), computed_at)
+
+
+def detail_of_open(open_order: DataFrame, computed_at: str) -> DataFrame:
     return _stamped(
-        with_priority(needed, work_request).withColumns(
+        open_order.withColumns(
             {
                 "work_order_id": F.col("id"),
                 "days_open": days_between(blank_to_null("planned_start"), F.lit(computed_at)).cast("long"),

@@ -13,7 +13,7 @@ from pyspark.sql.types import (
 )
 
 
-def _fields(*names: str, **typed: DataType) -> StructType:
+def text_fields(*names: str, **typed: DataType) -> StructType:
     """Nullable columns: plain names are strings, keyword arguments override the type in place."""
     return StructType([StructField(n, typed.get(n, StringType()), True) for n in names])
 
@@ -25,8 +25,8 @@ ENVELOPE = StructType(
         StructField("entity", StringType()),
         StructField("op", StringType()),
         StructField("event_ts", StringType()),
-        StructField("pk", _fields("id")),
-        StructField("source", _fields("system", "version")),
+        StructField("pk", text_fields("id")),
+        StructField("source", text_fields("system", "version")),
     ]
 )
 
@@ -45,23 +45,23 @@ ENTITY_TOPICS = {
 }
 OPS = ("c", "u", "d")
 
-BRONZE = _fields("entity", "op", "event_ts", "pk_id", "payload_json", "event_date", "source_system")
+BRONZE = text_fields("entity", "op", "event_ts", "pk_id", "payload_json", "event_date", "source_system")
 
 # --- current state ("after" images) -----------------------------------------------------------------
 
 AFTER = {
-    "asset": _fields("id", "name", "asset_type", "location", "status", "install_date", "updated_at"),
-    "work_request": _fields("id", "asset_id", "description", "priority", "status", "reported_at", "updated_at"),
-    "work_order": _fields(
+    "asset": text_fields("id", "name", "asset_type", "location", "status", "install_date", "updated_at"),
+    "work_request": text_fields("id", "asset_id", "description", "priority", "status", "reported_at", "updated_at"),
+    "work_order": text_fields(
         "id", "work_request_id", "asset_id", "status", "planned_start", "planned_end", "actual_start",
         "actual_end", "updated_at",
     ),
-    "maintenance_action": _fields(
+    "maintenance_action": text_fields(
         "id", "work_order_id", "step_number", "description", "status", "started_at", "completed_at",
         step_number=LongType(),
     ),
 }
-CDC_COLUMNS = _fields("source_system", "source_id", "last_op", "last_event_ts")
+CDC_COLUMNS = text_fields("source_system", "source_id", "last_op", "last_event_ts")
 
 
 def silver_schema(after: StructType) -> StructType:
@@ -71,24 +71,24 @@ def silver_schema(after: StructType) -> StructType:
 # --- standardised maintenance model -----------------------------------------------------------------
 
 CONCEPTS = {
-    "product_instance": _fields(
+    "product_instance": text_fields(
         "product_instance_id", "name", "type", "location", "operational_status", "installation_date",
         "source_system", "source_id", "mapped_at",
     ),
-    "functional_failure": _fields(
+    "functional_failure": text_fields(
         "functional_failure_id", "product_instance_id", "failure_description", "priority", "reported_at",
         "source_system", "source_id", "mapped_at",
     ),
-    "maintenance_task": _fields(
+    "maintenance_task": text_fields(
         "maintenance_task_id", "product_instance_id", "functional_failure_id", "status", "planned_start",
         "planned_end", "source_system", "source_id", "mapped_at",
     ),
-    "maintenance_task_step": _fields(
+    "maintenance_task_step": text_fields(
         "task_step_id", "maintenance_task_id", "step_number", "description", "status", "started_at",
         "completed_at", "source_system", "source_id", "mapped_at",
         step_number=LongType(),
     ),
-    "maintenance_event": _fields(
+    "maintenance_event": text_fields(
         "maintenance_event_id", "maintenance_task_id", "product_instance_id", "actual_start", "actual_end",
         "action_count", "source_system", "source_id", "mapped_at",
         action_count=LongType(),
@@ -98,35 +98,35 @@ CONCEPTS = {
 # --- rollups ----------------------------------------------------------------------------------------
 
 GOLD = {
-    "asset_availability": _fields(
+    "asset_availability": text_fields(
         "asset_id", "name", "asset_type", "location", "status", "is_available", "availability_pct",
         "computed_at",
         is_available=BooleanType(), availability_pct=DoubleType(),
     ),
-    "maintenance_history": _fields(
+    "maintenance_history": text_fields(
         "product_instance_id", "asset_source_id", "event_count", "first_maintenance", "last_maintenance",
         "total_actions", "computed_at",
         event_count=LongType(), total_actions=LongType(),
     ),
-    "work_order_backlog": _fields(
+    "work_order_backlog": text_fields(
         "priority", "asset_id", "open_count", "oldest_planned_start", "computed_at",
         open_count=LongType(),
     ),
-    "mtbf_metrics": _fields(
+    "mtbf_metrics": text_fields(
         "type", "asset_count", "failure_count", "failures_per_asset", "mtbf_proxy_hours", "computed_at",
         asset_count=LongType(), failure_count=LongType(), failures_per_asset=DoubleType(),
         mtbf_proxy_hours=DoubleType(),
     ),
     # The three shapes the relational replica declares beside the rollups above.
-    "asset_maintenance_summary": _fields(
+    "asset_maintenance_summary": text_fields(
         "asset_id", "work_order_count", "completed_actions_count", "last_maintenance_date", "computed_at",
         work_order_count=LongType(), completed_actions_count=LongType(),
     ),
-    "asset_mtbf_days": _fields(
+    "asset_mtbf_days": text_fields(
         "asset_id", "asset_name", "total_failures", "observation_days", "mtbf_days", "computed_at",
         total_failures=LongType(), observation_days=LongType(), mtbf_days=DoubleType(),
     ),
-    "backlog_detail": _fields(
+    "backlog_detail": text_fields(
         "asset_id", "work_order_id", "priority", "status", "days_open", "computed_at",
         days_open=LongType(),
     ),

@@ -4,45 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
-from maintlake.operators.cdc import EVENT_COLUMNS, event_order, latest_events
+from maintlake.operators.cdc import EVENT_COLUMNS
+from maintlake.sources.bucketed import BucketedTable, fold_events
 
 
-def latest_event_stream(bronze: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
-    """Stateful stream of the latest event per key; late events lose against the stored one.
-
-    The state holds one row per key, deleted keys included: they must go on beating older events.
-    """
-    columns = [*EVENT_COLUMNS, *tie]
-    order = F.struct(*event_order(bronze.columns, tie))
-    return (
-        bronze.groupBy("pk_id")
-        .agg(F.max_by(F.struct(*[c for c in columns if c != "pk_id"]), order).alias("latest"))
-        .select("pk_id", "latest.*")
-    )
+def state_table(spark: SparkSession, path: str, tie: StructType | None = None, buckets: int = 64) -> BucketedTable:
+    """Where a feed's state is kept: the latest event per key, deletes included, with its tie-break columns."""
+    columns = [StructField(c, StringType()) for c in EVENT_COLUMNS]
+    return BucketedTable(spark, path, StructType([*columns, *(tie.fields if tie else ())]), ("pk_id",), buckets)
 
 
-def maintain_changes(bronze: DataFrame, out: str, checkpoint: str, tie: Sequence[str] = ()) -> None:
-    """Process what the stream holds now; writes the keys each micro-batch changed to ``out``.
+def maintain_state(bronze: DataFrame, state: BucketedTable, checkpoint: str, tie: Sequence[str] = ()) -> None:
+    """Process what the stream holds now: each micro-batch is folded into the buckets of the keys it changes.
 
-    Each batch owns the folder ``batch_id=<n>`` and overwrites it when repeated.
+    The state is a table of one row per key, so readers resolve nothing, a batch costs what it touches, and the stream keeps
+    nothing of its own but its offsets. A batch that is repeated after a failure, and late events, change nothing that is
+    newer. Deleted keys stay as their delete, which has to go on beating older events.
     """
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        fold_events(state, batch.select(*state.schema.names), tie)
 
     query = (
-        latest_event_stream(bronze, tie)
-        .writeStream.outputMode("update")
-        .foreachBatch(store)
+        bronze.writeStream.foreachBatch(fold)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-
-
-def read_latest(spark: SparkSession, out: str, tie: Sequence[str] = ()) -> DataFrame:
-    """Latest event per key from the changes written so far."""
-    return latest_events(spark.read.parquet(out).drop("batch_id"), tie)

@@ -230,6 +230,14 @@ QUERIES: dict[str, str] = {
     "cdc_merge_incremental": _STATE,
     "cdc_merge_late": _STATE,
     "stream_latest_state": _STATE,
+    "cdc_bucketed_state": _STATE,
+    "refresh_incremental": """SELECT 'work_order_backlog' AS rollup, asset_id, priority, open_count AS orders,
+        NULL::BIGINT AS completed_actions, oldest_planned_start AS noted_at FROM backlog
+        UNION ALL SELECT 'asset_maintenance_summary', asset_id, NULL, count(*), coalesce(sum(done), 0)::BIGINT,
+        max(substr(nullif(actual_end, ''), 1, 10))
+        FROM wo LEFT JOIN (SELECT 'WO' || l_orderkey AS done_order, count(*) AS done FROM feed
+            WHERE age = 1 AND op <> 'd' AND status = 'completed' GROUP BY 1) d ON d.done_order = wo.id
+        GROUP BY asset_id""",
     "cdc_action_state": f"""SELECT pk_id AS id, 'WO' || l_orderkey AS work_order_id, l_linenumber::BIGINT AS step_number,
         CASE l_returnflag WHEN 'A' THEN 'Inspect' WHEN 'N' THEN 'Replace' WHEN 'R' THEN 'Test' END AS description,
         status, event_ts AS started_at,

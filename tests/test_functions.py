@@ -83,7 +83,8 @@ def test_scratch_data_goes_to_the_shared_folder(spark):
 
 
 def fake_session(master):
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master))
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda folder: None)
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
 
 
 def test_a_cluster_without_shared_folder_is_refused():

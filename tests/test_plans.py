@@ -12,7 +12,9 @@ from maintlake.operators.joins import settle
 from maintlake.operators.latest import latest_per_key
 from maintlake.schemas import AFTER
 
-LAZY = sorted(set(registered._builders()) - {"stream_latest_state"})
+#: These run jobs of their own when they are built, and return a table that was written.
+EAGER = {"stream_latest_state", "cdc_bucketed_state", "refresh_incremental"}
+LAZY = sorted(set(registered._builders()) - EAGER)
 
 
 @pytest.mark.parametrize("name", LAZY)
@@ -80,7 +82,8 @@ def shuffled_records(df):
     return found
 
 
-def test_a_batch_is_read_and_shuffled_once_for_new_rows_and_changed_keys(spark, tmp_path):
+def test_a_batch_is_read_and_shuffled_once_for_new_rows_and_changed_keys(spark, tmp_path, conf):
+    conf(**{"spark.sql.maxMetadataStringLength": 10_000})  # or long paths are cut in the plan
     schema = "pk_id string, op string, event_ts string, payload_json string, source_system string"
     events = spark.createDataFrame([("a", "u", "2024", "{}", "s"), ("b", "c", "2024", "{}", "s")], schema)
     events.write.parquet(str(tmp_path / "events"))

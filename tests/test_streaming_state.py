@@ -3,7 +3,7 @@ from maintlake.operators.cdc import current_rows, latest_events, resolve_cdc
 from maintlake.operators.envelope import parse_envelopes
 from maintlake.schemas import AFTER
 from maintlake.sources.feed import json_lines, json_lines_stream
-from maintlake.streaming.current_state import maintain_changes, read_latest
+from maintlake.streaming.current_state import maintain_state, state_table
 
 T = "2024-01-15T{:02d}:00:00+00:00".format
 
@@ -19,8 +19,10 @@ def test_stream_equals_batch_over_late_and_deleted_keys(spark, tmp_path):
     for n, batch in enumerate(batches):
         (feed / f"{n}.json").write_text("\n".join(batch))
         stream = parse_envelopes(json_lines_stream(spark, str(feed), max_files_per_trigger=1))
-        maintain_changes(stream, out, checkpoint)
-    found = as_dicts(current_rows(read_latest(spark, out), AFTER["asset"]).orderBy("id"))
+        maintain_state(stream, state_table(spark, out, buckets=4), checkpoint)
+    kept = state_table(spark, out).read()
+    assert kept.count() == 3 and kept.select("pk_id").distinct().count() == 3
+    found = as_dicts(current_rows(kept, AFTER["asset"]).orderBy("id"))
     assert [(r["id"], r["status"]) for r in found] == [("a", "failed"), ("c", "degraded")]
     whole = resolve_cdc(parse_envelopes(json_lines(spark, str(feed))), None, AFTER["asset"])
     assert as_dicts(whole.orderBy("id")) == found
