@@ -216,6 +216,16 @@ def dq_freshness(t: binding.BoundTables) -> DataFrame:
     return quality.freshness_report(t, TABLES, t.stamp)
 
 
+def dq_stale_sources(t: binding.BoundTables) -> DataFrame:
+    return quality.stale_source_report(t.spark, dq_freshness(t))
+
+
+def dq_offsets(t: binding.BoundTables) -> DataFrame:
+    """Line items as the messages of one feed partition an order; their numbers have gaps and repeats."""
+    place = [F.col("l_orderkey").alias("partition"), F.col("l_linenumber").alias("offset")]
+    return quality.offset_report(t.raw("lineitem").select(F.lit("cdc.maintenance_action").alias("topic"), *place))
+
+
 # --- facade -----------------------------------------------------------------------------------------
 
 
@@ -289,7 +299,11 @@ def _builders() -> dict[str, Callable[[binding.BoundTables], DataFrame]]:
             t("silver.work_order"), t("silver.maintenance_action")
         ),
         "dq_freshness": dq_freshness,
+        "dq_stale_sources": dq_stale_sources,
+        "dq_offsets": dq_offsets,
+        "dq_rules": quality.rule_report,
         "dq_traceability": quality.traceability_report,
+        "dq_foreign_ids": quality.foreign_id_report,
         "facade_sql_date": facade_sql_date,
         "facade_top_assets": facade_top_assets,
         **NAMED,

@@ -38,6 +38,11 @@ def parse_iso(c: Column | str) -> Column:
     return F.try_to_timestamp(blank_to_null(c))
 
 
+def is_iso(c: Column | str) -> Column:
+    """Whether a text is an ISO-8601 date, or date and time, that exists; null for null."""
+    return _col(c).rlike(r"^\d{4}-\d{2}-\d{2}([T ]|$)") & F.try_to_timestamp(_col(c)).isNotNull()
+
+
 def minutes_between(start: Column | str, end: Column | str) -> Column:
     """Elapsed minutes (double) between two ISO texts."""
     return (F.unix_micros(parse_iso(end)) - F.unix_micros(parse_iso(start))) / F.lit(60_000_000.0)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from maintlake.functions.timestamps import iso_date
+from maintlake.functions.timestamps import is_iso, iso_date
 from maintlake.schemas import BRONZE, ENTITY_TABLES, ENTITY_TOPICS, ENVELOPE, OPS
 
 QUARANTINE = "quarantine"
@@ -33,7 +33,8 @@ def parse_envelopes(raw: DataFrame, value: str = "value", keep: Sequence[str] =
     """Raw JSON documents -> the Bronze columns, plus ``route``, ``reject_reason`` and ``keep``.
 
     ``route`` is the table an event belongs to, or ``quarantine`` for malformed JSON, a missing
-    required field or an unknown entity; ``reject_reason`` says which. The JSON text is kept as is.
+    required field, an event time that is no ISO-8601 date or time, or an unknown entity; ``reject_reason`` says which.
+    Such a time gives no ``event_date``, so the dates of the log are dates. The JSON text is kept as is.
     """
     required = ("e.entity", "e.op", "e.event_ts", "e.pk.id", "e.source.system")
     missing = F.lit(False)
@@ -43,6 +44,7 @@ def parse_envelopes(raw: DataFrame, value: str = "value", keep: Sequence[str] =
     reason = (
         F.when(F.col("e").isNull() | F.col(f"e.{_CORRUPT}").isNotNull(), "malformed_json")
         .when(missing, "missing_field")
+        .when(~is_iso("e.event_ts"), "bad_event_time")
         .when(table.isNull(), "unknown_entity")
     )
     return (
@@ -53,7 +55,7 @@ def parse_envelopes(raw: DataFrame, value: str = "value", keep: Sequence[str] =
             F.col("e.event_ts").alias("event_ts"),
             F.col("e.pk.id").alias("pk_id"),
             "payload_json",
-            iso_date("e.event_ts").alias("event_date"),
+            F.when(is_iso("e.event_ts"), iso_date("e.event_ts")).alias("event_date"),
             F.col("e.source.system").alias("source_system"),
             table.alias("route"),
             reason.alias("reject_reason"),

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from maintlake import schemas
 from maintlake.functions.ids import concept_id
-from maintlake.functions.timestamps import parse_iso
+from maintlake.functions.timestamps import is_iso, iso_date, parse_iso
 
 Tables = Callable[[str], DataFrame]
 
@@ -44,6 +44,76 @@ def contract_violations(spark: SparkSession, actual: dict[str, StructType]) -> D
     )
 
 
+def declared_rules(table: str) -> list[tuple[str, str, Column]]:
+    """(rule, column, whether a row breaks it) for everything that is declared about a dataset's values."""
+    layer, name = table.split(".")
+    columns = schemas.TABLES[table].names
+    key = schemas.PRIMARY_KEYS.get(table)
+    rules = [("required", c, F.col(c).isNull()) for c in (*schemas.REQUIRED_COLUMNS.get(layer, ()), *([key] if key else []))]
+    for c in columns:
+        if c in schemas.ISO_COLUMNS:
+            rules.append(("format", c, (F.col(c) != "") & ~is_iso(c)))
+        if (table, c) in schemas.ACCEPTED_VALUES:
+            rules.append(("accepted", c, ~F.col(c).isin(*schemas.ACCEPTED_VALUES[(table, c)])))
+    if layer in schemas.PARTITION_KEYS:
+        partition, source = schemas.PARTITION_KEYS[layer]
+        rules.append(("partition", partition, ~F.col(partition).eqNullSafe(iso_date(source))))
+        entity = next(e for e, t in schemas.ENTITY_TABLES.items() if t == name)
+        rules.append(("constant", "entity", ~F.col("entity").eqNullSafe(F.lit(entity))))
+    return rules
+
+
+def rule_report(tables: Tables, names: Iterable[str] = tuple(schemas.TABLES)) -> DataFrame:
+    """Rows that break each declared rule. All rules of a dataset are one aggregation, so each is scanned once."""
+    reports = []
+    for table in names:
+        rules = declared_rules(table)
+        counts = [
+            F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("column_name"), F.count_if(broken).alias("violations"))
+            for rule, c, broken in rules
+        ]
+        found = tables(table).agg(F.count(F.lit(1)).alias("checked_rows"), F.array(*counts).alias("rules"))
+        reports.append(found.select(F.lit(table).alias("table_name"), "checked_rows", F.inline("rules")))
+    return _stack(reports)
+
+
+def offset_islands(messages: DataFrame) -> DataFrame:
+    """``topic, partition, first_offset, last_offset``: the unbroken runs of offsets of each feed partition.
+
+    An offset begins a run if the one before it is missing, and the next missing one ends it. Both show where
+    each offset meets the successor of its predecessor, in one aggregation by offset: a partition is never sorted as a whole.
+    Only the ends of runs are then put in order.
+    """
+    place = ["topic", "partition"]
+    own = messages.select(*place, F.col("offset").alias("x"), F.lit(True).alias("own"))
+    after = messages.select(*place, (F.col("offset") + 1).alias("x"), F.lit(False).alias("own"))
+    met = own.unionByName(after).groupBy(*place, "x").agg(F.bool_or("own").alias("is"), F.bool_and("own").alias("begins"))
+    ends = met.filter(F.col("begins") | ~F.col("is"))
+    order = Window.partitionBy(*place).orderBy("x")
+    return (
+        ends.withColumn("next", F.lead("x").over(order))
+        .filter("begins")
+        .select(*place, F.col("x").alias("first_offset"), (F.col("next") - 1).alias("last_offset"))
+    )
+
+
+def offset_report(messages: DataFrame) -> DataFrame:
+    """Whether a feed arrived whole, by topic and partition: messages, repeated ones, and offsets missing between the first
+    and the last. Messages without an offset are none of a feed's."""
+    known = messages.filter(F.col("offset").isNotNull()).select(F.col("topic"), "partition", F.col("offset").cast("long").alias("offset"))
+    distinct = F.col("last_offset") - F.col("first_offset") + 1
+    islands = offset_islands(known).groupBy("topic", "partition").agg(
+        F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset"),
+        F.sum(distinct).alias("offsets"), (F.count(F.lit(1)) - 1).alias("gaps"),
+    )
+    arrived = known.groupBy(F.col("topic").alias("t"), F.col("partition").alias("p")).agg(F.count(F.lit(1)).alias("messages"))
+    same = F.col("topic").eqNullSafe(F.col("t")) & F.col("partition").eqNullSafe(F.col("p"))
+    return islands.join(arrived, same).select(
+        "topic", "partition", "first_offset", "last_offset", "messages", (F.col("messages") - F.col("offsets")).alias("repeated"), "gaps",
+        (distinct - F.col("offsets")).alias("missing"),
+    )
+
+
 def key_report(tables: Tables, keys: dict[str, str] | None = None) -> DataFrame:
     """not_null and unique of every primary key, each table in one aggregation by its key."""
     return _stack(
@@ -241,6 +311,66 @@ def freshness_report(tables: Tables, names: Iterable[str], as_of: str) -> DataFr
     return _stack(reports)
 
 
+def source_reach(spark: SparkSession) -> DataFrame:
+    """``table_name, source``: every dataset that a dataset is computed from, through any number of steps, and itself."""
+    return spark.sql(
+        """WITH RECURSIVE reach(table_name, source) AS (
+               SELECT table_name, table_name FROM {datasets}
+               UNION ALL
+               SELECT reach.table_name, edges.upstream FROM reach JOIN {edges} edges ON edges.dataset = reach.source)
+           SELECT DISTINCT table_name, source FROM reach""",
+        datasets=spark.createDataFrame([(t,) for t in schemas.TABLES], "table_name string"),
+        edges=lineage_edges(spark),
+    )
+
+
+def stale_source_report(spark: SparkSession, freshness: DataFrame) -> DataFrame:
+    """For each dataset of a :func:`freshness_report` its stalest source: staleness flows down the lineage.
+
+    A source is as stale as it is older than its own limit; one without rows is the stalest of all. Ties go to the
+    smaller name. ``is_fresh`` says whether the dataset and all that it is computed from are fresh.
+    """
+    source = freshness.select(
+        F.col("table_name").alias("source"), (F.col("age_hours") - F.col("limit_hours")).alias("overdue"), F.col("is_fresh").alias("fresh")
+    )
+    # the greatest, nulls first; then the smallest name: the least of (has an age, -overdue, name)
+    order = F.struct(F.col("overdue").isNotNull().alias("known"), (-F.col("overdue")).alias("less"), "source")
+    stalest = F.min(order).alias("stalest")
+    return (
+        source_reach(spark)
+        .join(source, "source")
+        .groupBy("table_name")
+        .agg(
+            stalest, F.count(F.lit(1)).alias("sources"), F.count_if(~F.col("fresh")).alias("stale_sources"),
+            F.bool_and("fresh").alias("is_fresh"),
+        )
+        .select(
+            "table_name", "sources", "stale_sources", F.col("stalest.source").alias("stalest_source"),
+            F.round(-F.col("stalest.less"), 6).alias("overdue_hours"), "is_fresh",
+        )
+    )
+
+
+def foreign_id_report(tables: Tables) -> DataFrame:
+    """Concept rows whose foreign identifiers aren't the hash of what their source row refers to, or that have no source row."""
+    reports = []
+    for table, column, concept, source, referred in schemas.FOREIGN_IDS:
+        wanted = tables(source).select(
+            F.col("source_id").alias("origin"), concept_id(concept, referred).alias("wanted"), F.lit(True).alias("found")
+        )
+        rows = tables(f"silver_s5000f.{table}").select("source_id", F.col(column).alias("actual"))
+        reports.append(
+            rows.join(wanted, F.col("source_id") == F.col("origin"), "left")
+            .agg(
+                F.count(F.lit(1)).alias("checked_rows"),
+                F.count_if(F.col("found").isNull()).alias("without_source"),
+                F.count_if(F.col("found") & ~F.col("actual").eqNullSafe(F.col("wanted"))).alias("untraceable"),
+            )
+            .select(F.lit(table).alias("concept_table"), F.lit(column).alias("foreign_id"), "*")
+        )
+    return _stack(reports)
+
+
 def traceability_report(tables: Tables) -> DataFrame:
     """Concept rows whose identifier is not the hash of their source key."""
     origin = {

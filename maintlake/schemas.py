@@ -214,3 +214,24 @@ LINEAGE = {
 FRESHNESS_HOURS = {"bronze": 1, "silver": 1, "silver_s5000f": 24, "gold": 24}
 # Column that tells how new a row of a layer is.
 FRESHNESS_COLUMNS = {"bronze": "event_ts", "silver": "last_event_ts", "silver_s5000f": "mapped_at", "gold": "computed_at"}
+
+# Columns that hold ISO-8601 texts in whatever dataset they occur; the empty text is unset.
+ISO_COLUMNS = (
+    "event_ts", "updated_at", "reported_at", "planned_start", "planned_end", "actual_start", "actual_end", "started_at",
+    "completed_at", "last_event_ts", "mapped_at", "computed_at", "first_maintenance", "last_maintenance",
+    "oldest_planned_start", "install_date", "installation_date", "last_maintenance_date",
+)
+# Partition column of a layer and the column whose date it is.
+PARTITION_KEYS = {"bronze": ("event_date", "event_ts")}
+# Columns without which a row of a layer is no row.
+REQUIRED_COLUMNS = {"bronze": ("op", "event_ts", "pk_id", "payload_json", "source_system"), "silver": ("source_id", "last_op")}
+
+# concept table, its foreign identifier, concept that it names, source table, source column
+FOREIGN_IDS = (
+    ("functional_failure", "product_instance_id", "ProductInstance", "silver.work_request", "asset_id"),
+    ("maintenance_task", "product_instance_id", "ProductInstance", "silver.work_order", "asset_id"),
+    ("maintenance_task", "functional_failure_id", "FunctionalFailure", "silver.work_order", "work_request_id"),
+    ("maintenance_task_step", "maintenance_task_id", "MaintenanceTask", "silver.maintenance_action", "work_order_id"),
+    ("maintenance_event", "maintenance_task_id", "MaintenanceTask", "silver.work_order", "id"),
+    ("maintenance_event", "product_instance_id", "ProductInstance", "silver.work_order", "asset_id"),
+)

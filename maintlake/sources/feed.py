@@ -16,7 +16,7 @@ def kafka_stream(
     topics: Sequence[str] = tuple(ENTITY_TOPICS.values()),
     max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
-    """All CDC topics as one stream of (value, offset), from the earliest offsets."""
+    """All CDC topics as one stream of (value, key, topic, partition, offset, timestamp), from the earliest offsets."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -25,7 +25,8 @@ def kafka_stream(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return reader.load().select(F.col("value").cast("string").alias("value"), "offset")
+    texts = [F.col(c).cast("string").alias(c) for c in ("value", "key")]
+    return reader.load().select(*texts, "topic", "partition", "offset", "timestamp")
 
 
 def json_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

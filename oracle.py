@@ -197,6 +197,63 @@ def _changes(cte: str, allowed: str, *ways: str) -> str:
         WHERE from_status <> to_status GROUP BY from_status, to_status"""
 
 
+_ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ].*)?$"
+
+
+def _rules(table: str, cte: str, required: str, iso: str, accepted: dict[str, str], entity: str = "") -> str:
+    """Violations of one dataset's rules, a row a rule."""
+    rules = [("required", c, f"{c} IS NULL") for c in required.split()]
+    rules += [
+        ("format", c, f"{c} <> '' AND NOT (regexp_matches({c}, '{_ISO_TEXT}') AND TRY_CAST({c} AS TIMESTAMPTZ) IS NOT NULL)")
+        for c in iso.split()
+    ]
+    rules += [("accepted", c, f"{c} NOT IN ({values})") for c, values in accepted.items()]
+    if entity:
+        rules.append(("partition", "event_date", "event_date IS DISTINCT FROM substr(event_ts, 1, 10)"))
+        rules.append(("constant", "entity", f"entity IS DISTINCT FROM '{entity}'"))
+    return _union(
+        *(
+            f"""SELECT '{table}' AS table_name, count(*) AS checked_rows, '{rule}' AS rule, '{c}' AS column_name,
+            count(*) FILTER ({broken}) AS violations FROM {cte}"""
+            for rule, c, broken in rules
+        )
+    )
+
+
+def _bronze_rules(table: str, rows: str, entity: str) -> str:
+    columns = "op, event_ts, pk_id, '{}' AS payload_json, 'driver' AS source_system, substr(event_ts, 1, 10) AS event_date"
+    return _rules(
+        f"bronze.{table}", f"(SELECT '{entity}' AS entity, {columns} FROM {rows})", "op event_ts pk_id payload_json source_system",
+        "event_ts", {"op": "'c', 'u', 'd'"}, entity,
+    )
+
+
+def _lineage() -> str:
+    """The declared lineage as rows of (dataset, upstream)."""
+    edges = {f"silver.{t}": [f"bronze.{t}"] for t in ("asset", "work_request", "work_order", "maintenance_action")}
+    model = {
+        "product_instance": "asset", "functional_failure": "work_request", "maintenance_task": "work_order",
+        "maintenance_task_step": "maintenance_action", "maintenance_event": "work_order maintenance_action",
+    }
+    edges |= {f"silver_s5000f.{c}": [f"silver.{t}" for t in ts.split()] for c, ts in model.items()}
+    rollups = {
+        "asset_availability": "silver.asset", "maintenance_history": "silver_s5000f.maintenance_event",
+        "work_order_backlog": "silver.work_order silver.work_request",
+        "mtbf_metrics": "silver_s5000f.product_instance silver_s5000f.functional_failure",
+        "asset_maintenance_summary": "silver.work_order silver.maintenance_action",
+        "asset_mtbf_days": "silver.asset silver.work_request", "backlog_detail": "silver.work_order silver.work_request",
+    }
+    edges |= {f"gold.{g}": sources.split() for g, sources in rollups.items()}
+    return ", ".join(f"('{d}', '{u}')" for d, sources in edges.items() for u in sources)
+
+
+def _foreign(table: str, cte: str, column: str, prefix: str, concept: str, source: str, referred: str) -> str:
+    return f"""SELECT '{table}' AS concept_table, '{column}' AS foreign_id, count(*) AS checked_rows,
+        count(*) FILTER (s.source_id IS NULL) AS without_source,
+        count(*) FILTER (s.source_id IS NOT NULL AND c.{column} IS DISTINCT FROM {_cid(prefix, concept, f's.{referred}')}) AS untraceable
+        FROM {cte} c LEFT JOIN {source} s ON s.source_id = c.source_id"""
+
+
 _FILLED = "round(100.0 * count({0}) / count(*), 6)::DOUBLE AS field_{1}_pct"
 
 
@@ -563,6 +620,58 @@ QUERIES: dict[str, str] = {
         ORDER BY work_order_count DESC, asset_id LIMIT 10""",
 }
 
+QUERIES["dq_stale_sources"] = f"""SELECT table_name, count(*) AS sources, count(*) FILTER (NOT fresh) AS stale_sources,
+    arg_min(source, (overdue IS NOT NULL, -overdue, source)) AS stalest_source,
+    round(CASE WHEN count(*) = count(overdue) THEN max(overdue) END, 6) AS overdue_hours, bool_and(fresh) AS is_fresh
+    FROM (WITH RECURSIVE edges(dataset, upstream) AS (VALUES {_lineage()}),
+          reach(table_name, source) AS (
+              SELECT DISTINCT d, d FROM (SELECT dataset AS d FROM edges UNION SELECT upstream FROM edges)
+              UNION SELECT reach.table_name, edges.upstream FROM reach JOIN edges ON edges.dataset = reach.source)
+          SELECT * FROM reach) r
+    JOIN (SELECT table_name AS source, age_hours - limit_hours AS overdue, is_fresh AS fresh FROM ({QUERIES['dq_freshness']})) f
+    USING (source) GROUP BY table_name"""
+QUERIES["dq_offsets"] = """SELECT 'cdc.maintenance_action' AS topic, l_orderkey AS "partition", min(l_linenumber)::BIGINT AS first_offset,
+    max(l_linenumber)::BIGINT AS last_offset, count(*) AS messages, count(*) - count(DISTINCT l_linenumber) AS repeated,
+    count(*) FILTER (l_linenumber > before + 1) AS gaps,
+    (max(l_linenumber) - min(l_linenumber) + 1 - count(DISTINCT l_linenumber))::BIGINT AS missing
+    FROM (SELECT *, lag(l_linenumber) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS before FROM lineitem)
+    GROUP BY l_orderkey"""
+QUERIES["dq_foreign_ids"] = _union(
+    _foreign("functional_failure", "ff", "product_instance_id", "PI", "ProductInstance", "wr", "asset_id"),
+    _foreign("maintenance_task", "mt", "product_instance_id", "PI", "ProductInstance", "wo", "asset_id"),
+    _foreign("maintenance_task", "mt", "functional_failure_id", "FF", "FunctionalFailure", "wo", "work_request_id"),
+    _foreign("maintenance_task_step", "mts", "maintenance_task_id", "MT", "MaintenanceTask", "ma", "work_order_id"),
+    _foreign("maintenance_event", "me", "maintenance_task_id", "MT", "MaintenanceTask", "wo", "id"),
+    _foreign("maintenance_event", "me", "product_instance_id", "PI", "ProductInstance", "wo", "asset_id"),
+)
+_WORK_STATUS = "'planned', 'in_progress', 'completed', 'cancelled'"
+QUERIES["dq_rules"] = _union(
+    _bronze_rules("asset", "ev", "Asset"),
+    _bronze_rules("work_request", f"({_order_feed('wr', 'WorkRequest', 'open', 'approved')})", "WorkRequest"),
+    _bronze_rules("work_order", f"({_order_feed('wo', 'WorkOrder', 'planned', 'in_progress')})", "WorkOrder"),
+    _bronze_rules("maintenance_action", "feed", "MaintenanceAction"),
+    _rules("silver.asset", "asset", "source_id last_op id", "install_date updated_at last_event_ts",
+           {"status": "'operational', 'degraded', 'failed'"}),
+    _rules("silver.work_request", "wr", "source_id last_op id", "reported_at updated_at last_event_ts",
+           {"priority": "'low', 'medium', 'high', 'critical'", "status": "'open', 'approved', 'rejected', 'closed'"}),
+    _rules("silver.work_order", "wo", "source_id last_op id",
+           "planned_start planned_end actual_start actual_end updated_at last_event_ts", {"status": _WORK_STATUS}),
+    _rules("silver.maintenance_action", "ma", "source_id last_op id", "started_at completed_at last_event_ts",
+           {"status": "'pending', 'in_progress', 'completed'"}),
+    _rules("silver_s5000f.product_instance", "pi", "product_instance_id", "installation_date mapped_at", {}),
+    _rules("silver_s5000f.functional_failure", "ff", "", "reported_at mapped_at", {}),
+    _rules("silver_s5000f.maintenance_task", "mt", "maintenance_task_id", "planned_start planned_end mapped_at", {}),
+    _rules("silver_s5000f.maintenance_task_step", "mts", "task_step_id", "started_at completed_at mapped_at", {}),
+    _rules("silver_s5000f.maintenance_event", "me", "maintenance_event_id", "actual_start actual_end mapped_at", {}),
+    _rules("gold.asset_availability", "ga", "", "computed_at", {}),
+    _rules("gold.maintenance_history", "mh", "", "first_maintenance last_maintenance computed_at", {}),
+    _rules("gold.work_order_backlog", "backlog", "", "oldest_planned_start computed_at", {}),
+    _rules("gold.mtbf_metrics", "mtbf", "", "computed_at", {}),
+    _rules("gold.asset_maintenance_summary", "summary", "", "last_maintenance_date computed_at", {}),
+    _rules("gold.asset_mtbf_days", "mtbfdays", "", "computed_at", {}),
+    _rules("gold.backlog_detail", "detail", "", "computed_at", {}),
+)
+
 
 def statements() -> dict[str, str]:
     return {name: _sql(body) for name, body in QUERIES.items()}

@@ -36,6 +36,9 @@ def test_entities_are_routed(spark, entity, table):
     "text, reason",
     [
         ("{not json", "malformed_json"),
+        (document(ts="not a time"), "bad_event_time"),
+        (document(ts="2024-02-30T00:00:00+00:00"), "bad_event_time"),
+        (document(ts="12:00"), "bad_event_time"),
         ("[1, 2]", "malformed_json"),
         ("", "malformed_json"),
         (document(entity="Vehicle"), "unknown_entity"),

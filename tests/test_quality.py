@@ -1,6 +1,7 @@
 import pytest
 
 from conftest import as_dicts, event
+from maintlake import schemas
 from maintlake.operators import quality
 from maintlake.schemas import CONCEPTS, LINEAGE, PRIMARY_KEYS, TABLES
 from pyspark.sql import Window, functions as F
@@ -138,3 +139,41 @@ def test_traceability(spark):
     report = {r["concept_table"]: r for r in as_dicts(quality.traceability_report(only(spark, silver_s5000f_product_instance=df)))}
     assert (report["product_instance"]["checked_rows"], report["product_instance"]["untraceable"]) == (2, 1)
     assert len(report) == len(CONCEPTS)
+
+
+def test_offsets_with_planted_gaps_and_repeats(spark):
+    rows = [("t", 0, o) for o in (5, 6, 7, 10, 10, 11, 20)] + [("t", 1, 3)] + [("u", None, o) for o in (1, 2, 2)] + [("t", 2, None)]
+    messages = spark.createDataFrame(rows, "topic string, partition int, offset long")
+    islands = {(r.topic, r.partition, r.first_offset, r.last_offset) for r in quality.offset_islands(messages.filter("offset IS NOT NULL")).collect()}
+    assert islands == {("t", 0, 5, 7), ("t", 0, 10, 11), ("t", 0, 20, 20), ("t", 1, 3, 3), ("u", None, 1, 2)}
+    report = {(r.topic, r.partition): tuple(r)[2:] for r in quality.offset_report(messages).collect()}
+    assert report == {("t", 0): (5, 20, 7, 1, 2, 10), ("t", 1): (3, 3, 1, 0, 0, 0), ("u", None): (1, 2, 3, 1, 0, 0)}
+
+
+def test_planted_breaches_of_the_rules_are_found_in_one_scan(spark):
+    ok = ("Asset", "c", "2024-01-15T10:00:00+00:00", "a", "{}", "2024-01-15", "s")
+    broken = [
+        ("Vehicle", *ok[1:]), ("Asset", "x", *ok[2:]), ("Asset", "c", "soon", "a", "{}", "soon", "s"), (*ok[:3], None, *ok[4:]),
+        (*ok[:5], "2024-01-16", "s"), (None,) * 7,
+    ]
+    bronze = spark.createDataFrame([ok, *broken], schemas.BRONZE)
+    report = quality.rule_report(lambda name: bronze, ["bronze.asset"])
+    found = {(r.rule, r.column_name): r.violations for r in report.collect()}
+    assert found == {
+        ("required", "op"): 1, ("required", "event_ts"): 1, ("required", "pk_id"): 2, ("required", "payload_json"): 1,
+        ("required", "source_system"): 1, ("format", "event_ts"): 1, ("accepted", "op"): 1, ("partition", "event_date"): 1,
+        ("constant", "entity"): 2,
+    }
+    assert report.select("checked_rows").distinct().collect()[0][0] == 7
+
+
+def test_staleness_flows_down_the_lineage(spark):
+    rows = [(t, 1.0, 24, True) for t in schemas.TABLES if t not in ("bronze.asset", "silver.work_order")]
+    rows += [("bronze.asset", 30.5, 1, False), ("silver.work_order", None, 1, False)]
+    ages = spark.createDataFrame(rows, "table_name string, age_hours double, limit_hours long, is_fresh boolean")
+    report = {r.table_name: (r.sources, r.stale_sources, r.stalest_source, r.overdue_hours, r.is_fresh) for r in quality.stale_source_report(spark, ages).collect()}
+    assert report["bronze.asset"] == (1, 1, "bronze.asset", 29.5, False)
+    assert report["gold.asset_availability"] == (3, 1, "bronze.asset", 29.5, False)
+    assert report["gold.maintenance_history"] == (6, 1, "silver.work_order", None, False)
+    assert report["silver.work_request"] == (2, 0, "bronze.work_request", -23.0, True)
+    assert set(report) == set(schemas.TABLES)

@@ -14,7 +14,8 @@ from maintlake.plans.refresh import (
 from maintlake.schemas import LINEAGE, TABLES
 from maintlake.sources.feed import json_lines, json_lines_stream, write_json_lines
 from maintlake.sources.tables import EVENT_LOG
-from maintlake.streaming.ingest import ingest_available, ingest_batch, without_repeats
+from maintlake.operators.envelope import parse_envelopes
+from maintlake.streaming.ingest import ingest_available, ingest_batch, not_stored, without_repeats
 
 T = "2024-01-15T{:02d}:00:00+00:00".format
 
@@ -235,3 +236,33 @@ def test_loads_fold_into_the_state_in_any_order(store):
     assert merge_entity_incremental(store, "asset", ["l1"]) == 1
     (row,) = as_dicts(store("silver.asset"))
     assert (row["id"], row["status"]) == ("a001", "failed")
+
+
+def test_documents_delivered_again_are_found_in_the_log(store, tmp_path):
+    feed = tmp_path / "feed"
+    first, late, bad = document(pk="a1"), document(pk="a1", ts="2024-01-10T00:00:00+00:00"), "{bad"
+    write_lines(feed, "1.json", first, first, bad, document(pk="a2", ts="2024-01-16T00:00:00+00:00"))
+    stream = lambda: json_lines_stream(store.spark, str(feed), max_files_per_trigger=1)
+    take = lambda cp: ingest_available(store, stream(), checkpoint=str(tmp_path / cp), drop_repeats=True)
+    assert take("cp1") == 3
+    write_lines(feed, "2.json", first, late, bad, document(ts="never"))
+    assert take("cp1") == 2  # the late document and the one without a time are new
+    assert take("cp2") == 0  # another query reads the whole feed again
+    assert store("bronze.asset").count() == 3 and store.spark.table("bronze.quarantine").count() == 2
+    events = parse_envelopes(store.spark.createDataFrame([(late,)], "value string"))
+    plan = not_stored(store, events, "x")._jdf.queryExecution().optimizedPlan().toString()
+    assert "event_date" in plan and "2024-01-10" in plan and "2024-01-16" not in plan
+
+
+def test_a_repeated_load_is_stored_whole(store, tmp_path):
+    raw = store.spark.createDataFrame([(document(pk="a1"),), (document(pk="a2"),)], "value string")
+    ingest_batch(store, raw, "load-1")
+    again = not_stored(store, parse_envelopes(raw), "load-1")
+    assert store.append_events(again, "load-1") == 2 and store("bronze.asset").count() == 2
+
+
+def test_places_in_the_feed_are_stored(store):
+    raw = store.spark.createDataFrame([(document(pk="a1"), "cdc.asset", 3, 17)], "value string, topic string, partition int, offset long")
+    ingest_batch(store, raw, "load-1")
+    row = store.events_of("asset").first()
+    assert (row.topic, row.partition, row.offset) == ("cdc.asset", 3, 17)
