@@ -8,6 +8,7 @@ Whether a document is drawn depends on a hash of its id alone, so a rerun draws
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -62,7 +63,17 @@ def targets_from(cells: DataFrame, dim: str, power: float) -> DataFrame:
 
 
 def rake_in_memory(tokens: np.ndarray, codes: list[np.ndarray], shares: list[np.ndarray], rounds: int, tolerance: float):
-    """Raked cell weights; ``codes[d]`` numbers the cells' values of dimension d, ``shares[d]`` are their targets."""
+    """Raked cell weights; ``codes[d]`` numbers the cells' values of dimension d, ``shares[d]`` are their targets.
+
+    Targets count among the values that have tokens; where none of a dimension's has a target, all weights are 0.
+    """
+    goals = []
+    for code, share in zip(codes, shares):
+        share = np.where(np.bincount(code, weights=tokens, minlength=share.size) > 0, share, 0.0)
+        if not share.sum() > 0:
+            return np.zeros_like(tokens)
+        goals.append(share / share.sum())
+    shares = goals
     w = tokens / tokens.sum()
     for _ in range(rounds):
         worst = 0.0
@@ -71,16 +82,32 @@ def rake_in_memory(tokens: np.ndarray, codes: list[np.ndarray], shares: list[np.
             factor = np.divide(share, now, out=np.zeros_like(share), where=now > 0)
             worst = max(worst, float(np.abs(now - share)[now > 0].max(initial=0)))
             w = w * factor[code]
+        if not w.sum() > 0:  # the targets of different dimensions shut out all cells together
+            return np.zeros_like(w)
         w = w / w.sum()
         if worst < tolerance:
             break
+    else:
+        _unreached(worst, rounds)
     return w
 
 
+def _unreached(miss: float, rounds: int) -> None:
+    if miss > 1e-3:
+        warnings.warn(f"targets contradict each other: a share is off by {miss:.3g} after {rounds} rounds", stacklevel=3)
+
+
 def rake_distributed(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int, tolerance: float) -> DataFrame:
     """The same on a DataFrame, for more cells than the driver should hold: one aggregation and join a dimension."""
     total = cells.agg(F.sum("tokens").cast("double").alias("t"))
-    now = saved(cells.withColumn("raked", F.col("tokens") / total.scalar()))
+    now = saved(cells.withColumn("raked", F.coalesce(F.try_divide(F.col("tokens"), total.scalar()), F.lit(0.0))))
+    goals = {}
+    for dim, target in targets.items():
+        some = cells.filter("tokens > 0").select(F.col(dim).alias("present")).distinct()
+        target = saved(target.join(some, _same("value", "present")).drop("present"))
+        sum_of = target.agg(F.sum("share").alias("t"))
+        goals[dim] = target.select("value", F.coalesce(F.try_divide("share", sum_of.scalar()), F.lit(0.0)).alias("share"))
+    targets = goals
     for _ in range(rounds):
         worst = []
         for dim, target in targets.items():
@@ -97,9 +124,11 @@ def rake_distributed(cells: DataFrame, targets: Mapping[str, DataFrame], rounds:
             )
         # targets that shut values out leave less than 1
         sum_now = now.agg(F.sum("raked").alias("t"))
-        now = saved(now.withColumn("raked", F.col("raked") / sum_now.scalar()))
+        now = saved(now.withColumn("raked", F.coalesce(F.try_divide("raked", sum_now.scalar()), F.lit(0.0))))
         if max(worst) < tolerance:
             break
+    else:
+        _unreached(max(worst), rounds)
     return now
 
 
@@ -129,7 +158,9 @@ def mix_sources(
 
     ``targets`` has, per column, shares by value (scaled to sum 1; values that are absent get 0) or a power of the
     present token shares. Null is a value like any other (key None). ``share_kept`` of the tokens is the expected size
-    of the sample. Cells without tokens, and values with target 0, have probability 0. Rows with the same id are
+    of the sample. Cells without tokens, and values with target 0, have probability 0. Targets are scaled over the values that
+    have tokens; if none of a column's has a target, all weights are 0. Targets that contradict each other are a warning
+    (they come as near as raking gets in ``rounds``). Rows with the same id are
     drawn together; rows without id by a hash of their other columns. No row is dropped: callers filter ``sampled``.
 
     Cells are few (values of one column times those of the others): up to ``max_cells`` are raked on the driver,
