@@ -38,10 +38,22 @@ class Lines:
     starts: np.ndarray
     ends: np.ndarray
 
+    def bytes_at(self) -> np.ndarray:
+        """Where each code point begins in ``data``."""
+        return np.append(np.flatnonzero((self.data & 0xC0) != 0x80), self.data.size)
+
     def digests(self) -> np.ndarray:
-        at = np.append(np.flatnonzero((self.data & 0xC0) != 0x80), self.data.size)
+        at = self.bytes_at()
         return digests(self.data, at[self.starts], at[self.ends]).view(np.int64)
 
+    def texts(self, which: np.ndarray) -> pa.Array:
+        at = self.bytes_at()
+        starts, sizes = at[self.starts[which]], at[self.ends[which]] - at[self.starts[which]]
+        stops = np.cumsum(sizes)
+        own = self.data[np.repeat(starts - (stops - sizes), sizes) + np.arange(int(stops[-1]) if stops.size else 0)]
+        ends = np.append(0, stops).astype(np.int32)
+        return pa.StringArray.from_buffers(which.size, pa.py_buffer(ends), pa.py_buffer(own))
+
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the lines, and where each occurs first."""
         return np.unique(self.digests()[:, 0], return_index=True)
@@ -188,10 +200,7 @@ def _wanted_lines(texts: DataFrame) -> DataFrame:
             for _, _, data, offsets in text_blocks(batch.column(0)):
                 x = find_lines(data, offsets)
                 node, first = x.distinct()
-                value = [x.points[a:b].tobytes().decode("utf-32-le") for a, b in zip(x.starts[first], x.ends[first])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node), pa.array(value, pa.string())], names=["node", "value"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(node), x.texts(first)], names=["node", "value"])
 
     return texts.select("text").mapInArrow(rows, "node long, value string")
 
@@ -215,14 +224,23 @@ def compare(table: pa.Table, edits: int) -> pa.RecordBatch | None:
     for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         if hi - lo < 2:
             continue
-        met = sorted(set(line[lo:hi].tolist()))
-        for n, i in enumerate(met):
-            for j in met[:n]:
-                if left != right and block[i] == block[j] or (j, i) in seen or groups.find(i) == groups.find(j):
-                    continue
-                seen.add((j, i))
-                if within(values[i], values[j], edits) and groups.join(i, j):
-                    links.append((int(node[i]), int(node[j])))
+        # the lines that met here so far, by the component they belong to: one link between two components is enough
+        parts: dict[int, list[int]] = {}
+        for i in sorted(set(line[lo:hi].tolist())):
+            mine = groups.find(i)
+            for other in [r for r in parts if r != mine]:
+                for j in parts[other]:
+                    if left != right and block[i] == block[j] or (j, i) in seen:
+                        continue
+                    seen.add((j, i))
+                    if within(values[i], values[j], edits):
+                        groups.join(i, j)
+                        links.append((int(node[i]), int(node[j])))
+                        joined = parts.pop(other) + parts.pop(mine, [])
+                        mine = groups.find(i)
+                        parts[mine] = joined
+                        break
+            parts.setdefault(mine, []).append(i)
     if not links:
         return None
     a, b = zip(*links)
