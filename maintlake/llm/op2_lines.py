@@ -25,6 +25,8 @@ from maintlake.llm.shared import NULL_ID, known_id, require, saved
 from maintlake.llm.textops import U, Rolling, digests, mix, text_blocks
 
 _SPACES = (9, 10, 11, 12, 13, 32)
+#: Letters are counted by their code points modulo this.
+_CELLS = 32
 
 
 @dataclass
@@ -219,28 +221,31 @@ def compare(table: pa.Table, edits: int) -> pa.RecordBatch | None:
     order = np.lexsort((line, key))
     line, key = line[order], key[order]
     cuts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), key.size)
+    # an edit changes at most two of a line's letter counts by one: lines whose counts differ by more aren't near
+    sizes = np.diff(np.append(0, stops))
+    cell = np.repeat(np.arange(node.size) * _CELLS, sizes) + points % _CELLS
+    letters = np.bincount(cell, minlength=node.size * _CELLS).reshape(-1, _CELLS).astype(np.int32)
     groups, links = Groups(node.size), []
     seen: set[tuple[int, int]] = set()
     for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         if hi - lo < 2:
             continue
-        # the lines that met here so far, by the component they belong to: one link between two components is enough
-        parts: dict[int, list[int]] = {}
-        for i in sorted(set(line[lo:hi].tolist())):
+        met = np.unique(line[lo:hi])
+        roots: set[int] = set()  # components of the lines passed; one that is alone has nothing left to link
+        for n, i in enumerate(met.tolist()):
             mine = groups.find(i)
-            for other in [r for r in parts if r != mine]:
-                for j in parts[other]:
-                    if left != right and block[i] == block[j] or (j, i) in seen:
+            if roots - {mine}:
+                near = met[:n][np.abs(letters[met[:n]] - letters[i]).sum(axis=1) <= 2 * edits]
+                for j in near.tolist():
+                    if left != right and block[i] == block[j] or (j, i) in seen or groups.find(j) == groups.find(i):
                         continue
                     seen.add((j, i))
                     if within(values[i], values[j], edits):
                         groups.join(i, j)
                         links.append((int(node[i]), int(node[j])))
-                        joined = parts.pop(other) + parts.pop(mine, [])
-                        mine = groups.find(i)
-                        parts[mine] = joined
-                        break
-            parts.setdefault(mine, []).append(i)
+                if groups.find(i) != mine or any(groups.find(r) != r for r in roots):
+                    roots, mine = {groups.find(r) for r in roots}, groups.find(i)
+            roots.add(mine)
     if not links:
         return None
     a, b = zip(*links)
