@@ -46,9 +46,44 @@ ALLOW = (
     r"(?i).*(example|sample|placeholder|dummy|changeme).*",
     r"[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}",
 )
+#: Items that are counted through in one go; longer lists and runs are taken in blocks, with the same results.
+BLOCK = 256
+_RANGE = "array<struct<start:int,end:int>>"
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` and its inner functions refer to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def starts(lengths: Column) -> Column:
+    """Sum of all lengths before each one, in blocks: a list that grows by copying never gets longer than a block."""
+
+    def running(values: Column, first: Column) -> Column:
+        sums = F.aggregate(values, F.array(first), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)))
+        return F.slice(sums, F.lit(1), F.size(values))
+
+    def of_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda s, x: s + x))
+        begins = bound(totals, lambda t: running(t, F.lit(0)))
+        return bound(
+            begins, lambda first: F.flatten(F.transform(blocks, lambda block, b: running(block, F.get(first, b))))
+        )
+
+    return bound(
+        lengths,
+        lambda whole: bound(
+            F.transform(_blocks(F.size(whole)), lambda b: F.slice(whole, b * BLOCK + 1, F.lit(BLOCK))), of_blocks
+        ),
+    )
+
+
+def _blocks(n: Column) -> Column:
+    """Numbers of the blocks that ``n`` items fill; at least one."""
+    return F.sequence(F.lit(0), F.greatest(F.ceil(n / F.lit(BLOCK)).cast("int") - 1, F.lit(0)))
+
+
 def matches(text: Column, pattern: str, group: int, least: int, rank: int, kind: str) -> Column:
     """Leftmost non-overlapping matches whose ``group`` has ``least`` characters or more, as spans with their text."""
     p = F.lit(pattern)
@@ -57,21 +92,29 @@ def matches(text: Column, pattern: str, group: int, least: int, rank: int, kind:
         F.regexp_extract_all(text, p, F.lit(0)).alias("whole"),
         F.regexp_extract_all(text, p, F.lit(group)).alias("part"),
     )
-    # the last gap follows the last match and has none of its own
-    steps = F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0)))
-    start = F.struct(F.lit(0).alias("at"), F.lit(None).cast(_SPAN).alias("spans"))
-
-    def add(state: Column, x: Column) -> Column:
-        at = state["at"] + F.length(x["gap"])
-        end = at + F.length(x["whole"])
-        span = F.struct(
-            at.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), x["whole"].alias("value")
+
+    def placed(found: Column) -> Column:
+        # the last gap follows the last match and has none of its own
+        steps = F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0)))
+        lengths = F.transform(steps, lambda x: F.length(x["gap"]) + F.length(x["whole"]))
+
+        def span(at: Column) -> Callable[[Column, Column], Column]:
+            return lambda x, i: F.struct(
+                (F.get(at, i) + F.length(x["gap"])).alias("start"),
+                F.lit(rank).alias("rank"),
+                (F.get(at, i) + F.length(x["gap"]) + F.length(x["whole"])).alias("end"),
+                F.lit(kind).alias("kind"),
+                x["whole"].alias("value"),
+                (F.length(x["part"]) >= least).alias("long"),
+            )
+
+        spans = bound(starts(lengths), lambda at: F.transform(steps, span(at)))
+        return F.transform(
+            F.filter(spans, lambda x: x["long"]),
+            lambda x: F.struct(*(x[c].alias(c) for c in ("start", "rank", "end", "kind", "value"))),
         )
-        spans = F.when(F.length(x["part"]) >= least, F.concat(F.coalesce(state["spans"], _none()), F.array(span)))
-        return F.struct(end.alias("at"), F.coalesce(spans, state["spans"]).alias("spans"))
 
-    walked = F.aggregate(steps, start, add, lambda s: F.coalesce(s["spans"], _none()))
-    return F.when(text.rlike(pattern), walked).otherwise(_none())
+    return F.when(text.rlike(pattern), bound(found, placed)).otherwise(_none())
 
 
 def _none() -> Column:
@@ -79,16 +122,19 @@ def _none() -> Column:
 
 
 def noisy_spans(candidate: Column, cls: CharClass, rank: int) -> Column:
-    """The union of all windows of ``candidate`` (a span) with enough entropy, as spans."""
+    """The union of all windows of ``candidate`` (a span) with enough entropy, as spans.
+
+    Windows are slid over pieces of a candidate that begin ``BLOCK`` characters apart and overlap by a window less one,
+    so that each window lies in one piece; spans of neighbouring pieces that meet are joined. Time is linear in length.
+    """
     w = cls.window
     #: entropy >= bits  <=>  sum(c * log2 c) <= limit
     limit = w * (math.log2(w) - cls.bits) + 1e-9
     term = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(w + 2)))
-    symbols = F.transform(F.split(candidate["value"], ""), lambda c: F.call_function("locate", c, F.lit(cls.alphabet)))
     state = F.struct(
         F.array_repeat(F.lit(0), len(cls.alphabet) + 1).alias("counts"),
         F.lit(0.0).alias("total"),
-        F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans"),
+        F.lit(None).cast(_RANGE).alias("spans"),
     )
 
     def step(s: Column, pair: Column) -> Column:
@@ -117,23 +163,53 @@ def noisy_spans(candidate: Column, cls: CharClass, rank: int) -> Column:
         )
         return F.struct(counts.alias("counts"), total.alias("total"), spans.alias("spans"))
 
-    steps = F.transform(
-        symbols,
-        lambda c, i: F.struct(
-            c.alias("enters"), F.when(i >= w, F.get(symbols, i - w)).otherwise(0).alias("leaves"), i.alias("i")
-        ),
-    )
-    spans = F.aggregate(steps, state, step, lambda s: s["spans"])
-    return F.transform(
-        F.coalesce(spans, F.array().cast("array<struct<start:int,end:int>>")),
-        lambda x: F.struct(
-            (candidate["start"] + x["start"]).alias("start"),
-            F.lit(rank).alias("rank"),
-            (candidate["start"] + x["end"]).alias("end"),
-            F.lit(cls.kind).alias("kind"),
-            F.substring(candidate["value"], x["start"] + 1, x["end"] - x["start"]).alias("value"),
-        ),
-    )
+    def of_piece(piece: Column) -> Column:
+        """Spans of one piece, counted from the candidate's begin."""
+        steps = F.transform(
+            piece["symbols"],
+            lambda c, i: F.struct(
+                c.alias("enters"), F.when(i >= w, F.get(piece["symbols"], i - w)).otherwise(0).alias("leaves"), i.alias("i")
+            ),
+        )
+        found = F.coalesce(F.aggregate(steps, state, step, lambda s: s["spans"]), F.array().cast(_RANGE))
+        return F.transform(
+            found,
+            lambda x: F.struct((x["start"] + piece["at"]).alias("start"), (x["end"] + piece["at"]).alias("end")),
+        )
+
+    def of_symbols(symbols: Column) -> Column:
+        pieces = F.transform(
+            _blocks(F.size(symbols) - (w - 1)),
+            lambda b: F.struct(
+                (b * BLOCK).alias("at"), F.slice(symbols, b * BLOCK + 1, F.lit(BLOCK + w - 1)).alias("symbols")
+            ),
+        )
+        return bound(F.flatten(F.transform(pieces, of_piece)), joined)
+
+    def joined(spans: Column) -> Column:
+        # begins and ends both rise, so a span that doesn't meet the one before it opens, and one that doesn't meet the next closes
+        opens = F.filter(spans, lambda x, i: (i == 0) | (F.get(spans, i - 1)["end"] < x["start"]))
+        closes = F.filter(
+            spans, lambda x, i: (i == F.size(spans) - 1) | (F.get(spans, i + 1)["start"] > x["end"])
+        )
+        return F.arrays_zip(
+            F.transform(opens, lambda x: x["start"]).alias("start"), F.transform(closes, lambda x: x["end"]).alias("end")
+        )
+
+    def of_characters(characters: Column) -> Column:
+        symbols = F.transform(characters, lambda c: F.call_function("locate", c, F.lit(cls.alphabet)))
+        return F.transform(
+            bound(symbols, of_symbols),
+            lambda x: F.struct(
+                (candidate["start"] + x["start"]).alias("start"),
+                F.lit(rank).alias("rank"),
+                (candidate["start"] + x["end"]).alias("end"),
+                F.lit(cls.kind).alias("kind"),
+                F.array_join(F.slice(characters, x["start"] + 1, x["end"] - x["start"]), "").alias("value"),
+            ),
+        )
+
+    return bound(F.split(candidate["value"], ""), of_characters)
 
 
 def _noisy(cls: CharClass, rank: int) -> Callable[[Column], Column]:

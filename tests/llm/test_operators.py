@@ -211,6 +211,29 @@ def test_secrets_against_python(spark):
     assert hits > 20
 
 
+def test_secrets_in_long_runs_and_many_matches(spark):
+    """Runs over many blocks, with loud and quiet stretches that end on, before and after a block's edge."""
+    rng = random.Random(8)
+    loud = op4_secrets.CLASSES[1].alphabet
+    runs = []
+    for quiet in (30, 200, 256, 300):
+        runs.append("".join(
+            "".join(rng.choice(loud) for _ in range(rng.choice([24, 232, 256, 280, 400]))) + rng.choice("zQ7") * quiet
+            for _ in range(8)
+        ))
+    many = " ".join(f"token={rng.randrange(10**rng.choice([6, 15])):x}x é" for _ in range(700))
+    docs = [(i, t) for i, t in enumerate([*runs, many, many + runs[0], "data:image/png;base64," + runs[2]])]
+    found = {r.doc_id: r.found for r in op4_secrets.find_secrets(table(spark, docs), allow=()).collect()}
+    for i, text in docs:
+        spans = base_spans(text)
+        assert ",".join(f"{s.kind}:{s.start}:{s.end}" for s in found[i] if s.rank < 3) == spans
+        taken = [tuple(map(int, s.split(":")[1:])) for s in spans.split(",") if s]
+        for cls in op4_secrets.CLASSES:
+            want = [x for x in noisy(text, cls) if not any(s < x[1] and x[0] < e for s, e in taken)]
+            assert [[s.start, s.end] for s in found[i] if s.kind == cls.kind] == want
+        assert all(text[s.start : s.end] == s.value for s in found[i])
+
+
 # --- 5 and 6 ---------------------------------------------------------------------------------------
 
 
