@@ -26,6 +26,7 @@ from maintlake.schemas import AFTER, TABLES  # noqa: E402
 from maintlake.session import apply_settings, shared_dir  # noqa: E402
 from maintlake.sources import binding, replica  # noqa: E402
 from maintlake.sources.bucketed import fold_events  # noqa: E402
+from maintlake.sources.replica_changes import ReplicaTable  # noqa: E402
 from maintlake.streaming.current_state import maintain_state, state_table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,6 +199,18 @@ def replica_gold_mtbf_metrics(t: binding.BoundTables) -> DataFrame:
     return _replica_model("gold_mtbf_metrics")(t).withColumn("mtbf_days", F.round(F.col("mtbf_days").cast("double"), 6))
 
 
+def replica_changes(t: binding.BoundTables) -> DataFrame:
+    """The actions known at the start of 1996 copied to a replica, then only what had changed by the end, deletes too."""
+    events = binding.action_events(t.raw("lineitem"))
+    versions = {"1996": binding.action_snapshot(events.filter(F.col("event_ts") < "1996-01-01"))}
+    versions["end"] = binding.action_snapshot(events)
+    path = f"{shared_dir(t.spark)}/replica_changes/{os.urandom(8).hex()}"
+    for version, rows in versions.items():
+        table = ReplicaTable(t.spark, path, rows.columns, ["id"], slices=16)
+        table.load(rows, version, f"load of {version}", versions.get)
+    return table.read()
+
+
 # --- quality ----------------------------------------------------------------------------------------
 
 
@@ -278,6 +291,7 @@ def _builders() -> dict[str, Callable[[binding.BoundTables], DataFrame]]:
         "gold_asset_mtbf_days": _rounded("gold.asset_mtbf_days", "mtbf_days"),
         "gold_backlog_detail": _table("gold.backlog_detail"),
         "replica_stage": replica_stage,
+        "replica_changes": replica_changes,
         "replica_bronze_asset": _replica_model("bronze_asset", ("payload_json",)),
         "replica_bronze_maintenance_action": _replica_model("bronze_maintenance_action", ("payload_json",)),
         "replica_bronze_work_request": _replica_model("bronze_work_request", ("payload_json",)),

@@ -11,7 +11,7 @@ from maintlake.functions.timestamps import utc_now_iso
 from maintlake.operators import concepts, gold
 from maintlake.operators.cdc import current_rows, merge_state, resolve_cdc
 from maintlake.schemas import AFTER, LINEAGE
-from maintlake.sources.tables import EVENT_LOG, TableStore
+from maintlake.sources.tables import EVENT_LOG, ReadLog, TableStore
 
 Build = Callable[[TableStore, str], DataFrame]
 
@@ -50,7 +50,8 @@ def merge_entity(store: TableStore, entity_table: str, tie: Sequence[str] = ())
         return 0
     name = f"silver.{entity_table}"
     existing = store.read(name) if store.exists(name) else None
-    return store.publish(name, resolve_cdc(store.events_of(entity_table), existing, AFTER[entity_table], tie))
+    state = resolve_cdc(store.events_of(entity_table), existing, AFTER[entity_table], tie)
+    return store.publish(name, state, {EVENT_LOG: store.log_version()})
 
 
 def merge_entity_incremental(store: TableStore, entity_table: str, load_ids: Sequence[str]) -> int:
@@ -70,7 +71,9 @@ def merge_entity_incremental(store: TableStore, entity_table: str, load_ids: Seq
 
 def refresh_table(store: TableStore, name: str, stamp: str | None = None) -> int:
     """Rebuild one concept or rollup table. An empty result is published too, so nothing stale stays."""
-    return store.publish(name, BUILDERS[name](store, stamp or utc_now_iso()))
+    read = ReadLog(store)
+    built = BUILDERS[name](read, stamp or utc_now_iso())
+    return store.publish(name, built, read.versions)
 
 
 # One job per table, each called with a store (and a run stamp).

@@ -116,10 +116,11 @@ def load_staging(
 ) -> str:
     """Copy one layer table into ``staging_<layer>.<table>``; returns load statistics as JSON.
 
-    ``limit`` copies at most that many rows, on request only. Errors are raised, not reported as text.
+    Each row carries the version it was copied from. ``limit`` copies at most that many rows, on request only. Errors are raised, not reported as text.
     Each load also adds its statistics to the table ``replica.load_audit``.
     """
-    source = store(f"{layer}.{table}")
+    name = f"{layer}.{table}"
+    source = stamp_version(store(name), store.version(name))
     if limit:
         source = source.limit(limit)
     written = Observation()

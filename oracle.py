@@ -536,6 +536,16 @@ QUERIES: dict[str, str] = {
         FROM mtbfdays""",
     "replica_gold_work_order_backlog": _model(
         "detail", "asset_id work_order_id priority status days_open computed_at"),
+    "replica_changes": """WITH p AS (SELECT *, row_number() OVER (PARTITION BY pk_id
+            ORDER BY event_ts DESC, l_partkey DESC, l_suppkey DESC) AS n FROM feed WHERE event_ts < '1996-01-01'),
+        old AS (SELECT pk_id, status, event_ts FROM p WHERE n = 1 AND op <> 'd')
+        SELECT c.pk_id AS id, c.status, c.event_ts AS started_at,
+            CASE WHEN same.pk_id IS NULL THEN 'end' ELSE '1996' END AS source_version,
+            CASE WHEN old.pk_id IS NULL THEN 'load of end' ELSE 'load of 1996' END AS dbt_created_at,
+            CASE WHEN same.pk_id IS NULL THEN 'load of end' ELSE 'load of 1996' END AS dbt_updated_at
+        FROM feed c LEFT JOIN old ON old.pk_id = c.pk_id LEFT JOIN old same ON same.pk_id = c.pk_id
+            AND same.status = c.status AND same.event_ts = c.event_ts
+        WHERE c.age = 1 AND c.op <> 'd'""",
     "replica_source_version": "SELECT coalesce(max(event_ts), 'unknown') AS source_version FROM ev",
     # --- quality ----------------------------------------------------------------------------------
     "dq_keys": _union(
