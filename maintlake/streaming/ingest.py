@@ -7,7 +7,8 @@ import threading
 from pyspark.sql import DataFrame, functions as F
 
 from maintlake.operators.envelope import parse_envelopes
-from maintlake.sources.tables import EVENT_LOG, TableStore
+from maintlake.sources.event_days import EVENTS
+from maintlake.sources.tables import TableStore
 
 
 def without_repeats(raw: DataFrame) -> DataFrame:
@@ -31,7 +32,7 @@ def not_stored(store: TableStore, events: DataFrame, load_id: str) -> DataFrame:
     days = [r[0] for r in events.select("event_date").distinct().collect()]  # dates: see parse_envelopes
     day = F.col("event_date")
     here = day.isin(*[d for d in days if d is not None]) | (day.isNull() if None in days else F.lit(False))
-    log = store.spark.table(EVENT_LOG).filter(here & (F.col("load_id") != load_id))
+    log = store.spark.table(EVENTS).filter(here & (F.col("load_id") != load_id))
     seen = log.select(F.col("route").alias("stored_route"), digest.alias("stored_digest")).distinct()
     fresh = events.withColumn("digest", digest).dropDuplicates(["route", "digest"])
     again = (F.col("route") == F.col("stored_route")) & (F.col("digest") == F.col("stored_digest"))
