@@ -19,9 +19,12 @@ class Level:
     words: DataFrame
 
     def lets_through(self, key: Column) -> Column:
+        return self.passes(places(key, self.bits, self.hashes, self.number))
+
+    def passes(self, places: list[Column]) -> Column:
         words = self.words.scalar()
         passed = F.lit(True)
-        for place in places(key, self.bits, self.hashes, self.number):
+        for place in places:
             word = F.element_at(words, (F.shiftright(place, 6) + 1).cast("int"))
             passed = passed & (F.call_function("getbit", word, place.bitwiseAND(F.lit(63)).cast("int")) == 1)
         return passed
@@ -29,14 +32,22 @@ class Level:
 
 def places(key: Column, bits: int, hashes: int, number: int) -> list[Column]:
     """Bit numbers of a key in a level; each level hashes anew, so that what one lets through is spread by the next."""
-    first = F.pmod(F.xxhash64(F.lit(2 * number), key), F.lit(bits))
-    second = F.pmod(F.xxhash64(F.lit(2 * number + 1), key), F.lit(bits))
+    return spread_bits(*key_hashes(key, number), bits, hashes)
+
+
+def key_hashes(key: Column, number: int) -> tuple[Column, Column]:
+    """The two hashes of a key from which its bits in a level follow."""
+    return F.xxhash64(F.lit(2 * number), key), F.xxhash64(F.lit(2 * number + 1), key)
+
+
+def spread_bits(a: Column, b: Column, bits: int, hashes: int) -> list[Column]:
+    first, second = F.pmod(a, F.lit(bits)), F.pmod(b, F.lit(bits))
     return [F.pmod(first + second * i, F.lit(bits)) for i in range(hashes)]
 
 
-def build_level(keys: DataFrame, n: int, number: int, bits_per_key: float) -> Level:
+def build_level(keys: DataFrame, n: int, number: int, bits_per_key: float, min_words: int = 1) -> Level:
     """A filter of ``n`` keys (column key), at ``bits_per_key`` bits each."""
-    n_words = max(1, math.ceil(n * bits_per_key / 64))
+    n_words = max(min_words, math.ceil(n * bits_per_key / 64))
     bits, hashes = n_words * 64, max(1, round(bits_per_key * math.log(2)))
     place = keys.select(F.explode(F.array(*places(F.col("key"), bits, hashes, number))).alias("place"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))

@@ -3,18 +3,22 @@
 The keys of all urls (host and path) are the universe. Level 1 encodes the listed keys; the other keys that it lets
 through are encoded by level 2, the listed keys that level 2 lets through by level 3, and so on until a level lets
 nothing through wrongly. Every key of the universe is then answered exactly by the first level that stops it: an even
-level means listed. Urls are judged in their own partitions; nothing is joined or shuffled to them. The filters
-reach the tasks as scalar subqueries of a checked size: if they would be larger, keys and urls are split by hash into
-shards that are judged one after the other, each with filters of that size.
+level means listed. Nothing is joined to the urls. The filters reach the tasks as scalar subqueries.
+
+Level 1 has so many bits a key that fewer unlisted keys pass it than there are listed ones, however many there are, so
+all levels together are bounded by the number of listed keys and the logarithm of the universe. If that is more than one
+task shall hold, keys and urls are written once, laid out by a hash of the key, and each shard of urls is judged with its own
+filters, reading nothing but its own files. The size is checked as filters are built; more shards are taken if it is passed.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from maintlake.llm.bloom import Level, build_level
+from maintlake.llm.bloom import Level, build_level, key_hashes, spread_bits
 from maintlake.llm.shared import require, saved
 
 # Rules of the contract, as verdict, host and path prefix.
@@ -25,6 +29,8 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
+#: Smallest level: its two hashes must not coincide too often.
+MIN_WORDS = 64
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -47,26 +53,48 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def build_cascade(keys: DataFrame, bits_per_key: float = 10.0, max_levels: int = 64) -> list[Level]:
-    """Levels for ``keys`` (key, listed), one row a key. Each level's errors are a hundredth of the keys before."""
+class TooLarge(Exception):
+    """The filters of a cascade pass their bound."""
+
+
+def first_level_bits(listed: int, others: int, bits_per_key: float) -> float:
+    """Bits a key of level 1: at least as many as let fewer of the other keys pass than there are listed ones."""
+    return max(bits_per_key, math.log2(max(1.0, math.sqrt(2) * others / max(listed, 1))) / math.log(2))
+
+
+def build_cascade(
+    keys: DataFrame, bits_per_key: float = 10.0, max_bytes: float = math.inf, max_levels: int = 64
+) -> list[Level]:
+    """Levels for ``keys`` (key, listed), one row a key, of ``max_bytes`` in all; :class:`TooLarge` if that isn't enough."""
     levels: list[Level] = []
     inside, outside = keys.filter("listed").select("key"), keys.filter("NOT listed").select("key")
-    n = inside.count()
+    counts = keys.agg(F.count_if("listed").alias("n"), F.count_if(~F.col("listed")).alias("m")).first()
+    n, bits, used = counts["n"], first_level_bits(counts["n"], counts["m"], bits_per_key), 0.0
     while n:
         if len(levels) == max_levels:
             raise RuntimeError("the cascade doesn't end; give it more bits a key")
-        levels.append(build_level(inside, n, len(levels), bits_per_key))
+        used += max(8 * MIN_WORDS, n * bits / 8)
+        if used > max_bytes:
+            raise TooLarge
+        levels.append(build_level(inside, n, len(levels), bits, MIN_WORDS))
         wrong = saved(outside.filter(levels[-1].lets_through(F.col("key"))))
-        inside, outside, n = wrong, inside, wrong.count()
+        inside, outside, n, bits = wrong, inside, wrong.count(), bits_per_key
     return levels
 
 
-def is_member(levels: list[Level], key: Column) -> Column:
-    """Exact for keys of the universe: listed if the level that stops a key is an even one."""
+def _judged(urls: DataFrame, levels: list[Level], rules) -> DataFrame:
+    """``urls`` (page_id, host, path) with rule and verdict. Exact for keys of the universe: the level that stops one tells."""
+    rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
+    hashed = urls.withColumn("key", F.concat("host", "path"))
+    # each level's hashes are columns of a step of their own, computed once a url
+    named = {f"{h}{level.number}": c for level in levels for h, c in zip("ab", key_hashes(F.col("key"), level.number))}
     member = F.lit(len(levels) % 2 == 1)
     for level in reversed(levels):
-        member = F.when(level.lets_through(key), member).otherwise(F.lit(level.number % 2 == 1))
-    return member
+        places = spread_bits(F.col(f"a{level.number}"), F.col(f"b{level.number}"), level.bits, level.hashes)
+        member = F.when(level.passes(places), member).otherwise(F.lit(level.number % 2 == 1))
+    method = F.when(member, "block").otherwise("allow")
+    hashed = hashed.select("*", *[c.alias(name) for name, c in named.items()])
+    return hashed.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"))
 
 
 def filter_urls(
@@ -80,32 +108,41 @@ def filter_urls(
 
     ``listed`` says of a row whether it lists its key (host and path); a key is listed if any of its rows does (null
     counts as no). A url without rule is blocked if its key is listed, else allowed. Null urls and urls without ``://``
-    have an empty host and path, which is a key like any other. Repeated rows give repeated rows; without rows or
+    have an empty host and path, which is a key like any other. The filters that judge a url have ``max_filter_bytes`` in
+    all (4,096 at least). Repeated rows give repeated rows; without rows or
     listed keys there are no levels and every such url is allowed.
     """
     require(pages, "page_id", "url")
     url = F.col("url")
     judged = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
-    key = F.concat(F.col("host"), F.col("path"))
     keys = saved(
         pages.select(F.concat(host_of(url), path_of(url)).alias("key"), F.coalesce(listed, F.lit(False)).alias("listed"))
         .groupBy("key")
         .agg(F.max("listed").alias("listed"))
     )
-    # the first two levels hold nearly all bits
-    n = keys.agg(F.count_if("listed").alias("n")).first()["n"]
-    shards = max(1, math.ceil(1.05 * n * bits_per_key / 8 / max_filter_bytes))
-    rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
-    parts = []
-    for shard in range(shards):
-        own = F.pmod(F.xxhash64(F.lit(-1), key), F.lit(shards)) == shard if shards > 1 else F.lit(True)
-        levels = build_cascade(keys.filter(F.pmod(F.xxhash64(F.lit(-1), "key"), F.lit(shards)) == shard), bits_per_key)
-        method = F.when(is_member(levels, key), "block").otherwise("allow")
-        parts.append(judged.filter(own).select("*", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    return out
+    counts = keys.agg(F.count_if("listed").alias("n"), F.count("*").alias("all")).first()
+    first = first_level_bits(counts["n"], counts["all"] - counts["n"], bits_per_key)
+    limit = max(max_filter_bytes, 64 * MIN_WORDS)
+    shards = max(1, math.ceil(1.1 * counts["n"] * (first + 0.75 * bits_per_key) / 8 / limit))
+    while True:
+        try:
+            return _sharded(judged, keys, shards, rules, bits_per_key, limit)
+        except TooLarge:
+            shards *= 2
+
+
+def _sharded(urls: DataFrame, keys: DataFrame, shards: int, rules, bits_per_key: float, limit: int) -> DataFrame:
+    if shards == 1:
+        return _judged(urls, build_cascade(keys, bits_per_key, limit), rules)
+
+    def own(key: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(shards)).cast("int").alias("shard")
+
+    keys = saved(keys.select("*", own(F.col("key"))), by="shard")
+    cascades = [build_cascade(keys.filter(F.col("shard") == s), bits_per_key, limit) for s in range(shards)]
+    routed = saved(urls.select("*", own(F.concat("host", "path"))), by="shard")
+    parts = [_judged(routed.filter(F.col("shard") == s).drop("shard"), levels, rules) for s, levels in enumerate(cascades)]
+    return reduce(DataFrame.unionAll, parts)
 
 
 #: What lists a key in the registered query: a link to it from a campaign.

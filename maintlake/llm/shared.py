@@ -23,14 +23,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, by: str | None = None) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back, so that its lineage ends there.
 
-    The files go when the session's JVM ends.
+    With ``by``, the files are laid out by the values of that column, so that one value's rows are read alone. The files go when the session's JVM ends.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    (df.hint("rebalance", by) if by else df).write.option("compression", "zstd").parquet(path, partitionBy=by)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
     return spark.read.schema(df.schema).parquet(path)
