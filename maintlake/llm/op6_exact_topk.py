@@ -1,13 +1,13 @@
 """Exact top-k by inner product without random access: sorted lists read in step, with bounds on every score.
 
 Every block of rows has one list a dimension, sorted by component. A query reads the list of a dimension from its top
-where its own component is positive, from its bottom where it is negative, all to the same depth. What is read of a
-row gives its score's bounds: an unread component is at best the last value read from its list, and at worst the
-list's other end. Rows whose upper bound is under the k-th best lower bound are outsiders. Reading stops when few
-others are left; their scores are then resolved.
+where its own component is positive, from its bottom where it is negative (where it is 0, not at all), all in step, one
+slice after the other. A row's score is at least the sum of what was read of it plus, for each list where it wasn't met
+yet, that list's far end, and at most the same with the last value read. Rows whose upper bound is under the k-th best lower
+bound are outsiders. Reading stops when few others are left; their scores are then resolved from their rows.
 
-All queries of a part read a block's lists together, so the bounds of a depth are two matrix products: replacing unread
-components by the last value read is a clip at that value. Sums stay whole numbers below 2^53, hence exact.
+One block is searched first: its k-th best score is a lower bound for all other blocks, so that most of their rows are
+outsiders from the start. Sums are whole numbers, in doubles while all are sure to stay below 2^53, else in Python's integers.
 """
 
 from __future__ import annotations
@@ -20,42 +20,74 @@ from maintlake.llm.links import each_group
 from maintlake.llm.shared import require, saved
 from maintlake.llm.vectors import every, matrix, spread, usable
 
-#: Depths, as shares of a list, at which bounds are compared.
-DEPTHS = (0.25, 0.5, 0.75)
-
-
-def block_top(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """The ``k`` best rows of a block for each query, equal scores to smaller ids: (query number, row number, score)."""
-    n = ids.size
-    lists = np.sort(rows, axis=0)
-    low, high = lists[0], lists[-1]
-    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    own = query_ids[:, None] == ids[None, :]
-    open_ = np.arange(query_ids.size)
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for depth in (*DEPTHS, 1.0):
-        if not open_.size:
-            break
-        read = max(1, min(n, round(depth * n)))
-        top, bottom = lists[n - read], lists[read - 1]  # the last values read from either end
-        above, below = rows >= top, rows <= bottom
-        upper = up[open_] @ np.maximum(rows, top).T + down[open_] @ np.minimum(rows, bottom).T
-        lower = up[open_] @ np.where(above, rows, low).T + down[open_] @ np.where(below, rows, high).T
-        lower[own[open_]] = upper[own[open_]] = -np.inf
-        if n > k:
-            kth = np.partition(lower, n - k, axis=1)[:, n - k]
-            inside = (upper >= kth[:, None]) & ~own[open_]
-        else:
-            inside = ~own[open_]
-        done = (inside.sum(axis=1) <= max(8 * k, n // 16)) | (depth == 1.0)
-        for at in np.flatnonzero(done).tolist():
-            q = open_[at]
-            left = np.flatnonzero(inside[at])
-            score = rows[left] @ queries[q]
-            best = np.lexsort((ids[left], -score))[:k]
-            out.append((np.full(best.size, q), left[best], score[best]))
-        open_ = open_[~done]
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, int),) * 3
+#: Slices a list is read in; bounds are compared after each.
+SLICES = 16
+
+
+class SortedLists:
+    """The lists of a block, one a dimension, and the reading of them for one query at a time."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        self.ids, self.rows = ids, rows
+        self.order = np.argsort(rows, axis=0, kind="stable")
+        self.values = np.take_along_axis(rows, self.order, axis=0)
+        #: Entries read so far, for all queries.
+        self.entries = 0
+
+    def top(self, own: int, query: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers and scores of the ``k`` best rows with other ids that reach ``least``, equal scores to smaller ids."""
+        n = self.ids.size
+        used = np.flatnonzero(query)
+        weights, falling = query[used], query[used] > 0
+        far = weights * np.where(falling, self.values[0, used], self.values[-1, used])
+        dtype = self.rows.dtype
+        total, unread = np.zeros(n, dtype), np.ones((n, used.size), bool)
+        others = self.ids != own
+        inside = np.flatnonzero(others)
+        edges = np.unique(np.linspace(0, n, SLICES + 1).astype(int))
+        for start, end in zip(edges[:-1], edges[1:]):
+            if not used.size or inside.size <= 4 * k:
+                break
+            met = np.where(falling, self.order[n - end : n - start, used][::-1], self.order[start:end, used])
+            worth = weights * np.where(falling, self.values[n - end : n - start, used][::-1], self.values[start:end, used])
+            self.entries += met.size
+            if dtype == object:
+                np.add.at(total, met, worth)
+            else:
+                total += np.bincount(met.ravel(), worth.ravel(), n)
+            unread[met, np.arange(used.size)] = False
+            missing = unread[inside].astype(dtype)
+            upper = total[inside] + missing @ worth[-1]
+            bound = least
+            if inside.size > k:
+                lower = total[inside] + missing @ far
+                bound = max(bound, np.partition(lower, inside.size - k)[inside.size - k])
+            inside = inside[upper >= bound]
+        score = self.rows[inside] @ query if inside.size else np.zeros(0, dtype)
+        best = sorted(range(inside.size), key=lambda i: (-score[i], self.ids[inside[i]]))[:k]
+        return inside[best], score[best]
+
+
+def whole(score) -> int:
+    if not -(1 << 63) <= int(score) < 1 << 63:
+        raise OverflowError(f"the score {int(score)} does not fit a long")
+    return int(score)
+
+
+def block_top(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, least=None):
+    """The ``k`` best rows of a block for each query, out of those that reach its ``least``: (query numbers, row numbers,
+    scores, entries read)."""
+    if float(np.abs(rows).max()) * float(np.abs(queries).max()) * rows.shape[1] >= 1 << 53:
+        exactly = np.frompyfunc(int, 1, 1)
+        rows, queries = exactly(rows), exactly(queries)
+    lists = SortedLists(ids, rows)
+    asked, found, scores = [], [], []
+    for q in range(query_ids.size):
+        best, score = lists.top(query_ids[q], queries[q], k, -np.inf if least is None else least[q])
+        asked += [q] * best.size
+        found += best.tolist()
+        scores += [whole(s) for s in score]
+    return np.array(asked, int), np.array(found, int), np.array(scores, np.int64), lists.entries
 
 
 def exact_top(
@@ -73,19 +105,22 @@ def exact_top(
     rows with another id. Equal scores go to smaller ids; fewer candidates than ``k`` are all returned. Vectors that are
     null, empty, of unusual length, or hold null or non-finite components take no part, nor do rows without id; vectors of
     zeros do. A repeated row is a candidate each time. Rows with equal ids are queries each, and equal rows of the answer
-    are returned for each of them. Query set and rows meet in blocks; each gives ``k`` rows a query at most.
+    are returned for each of them. Query set and rows meet in blocks; each gives ``k`` rows a query at most. Components of any
+    size give exact scores; one among a block's best that does not fit a long is an OverflowError.
     """
     require(vectors, "vec_id", vector)
-    rows = saved(
-        usable(vectors, vector, zero=True).withColumn(
-            "vector", F.transform("vector", lambda x: F.floor(x * F.lit(scale)).cast("double"))
-        ).withColumn("row", F.monotonically_increasing_id())
-    )
+    scaled = usable(vectors, vector, zero=True).withColumn("vector", F.transform("vector", lambda x: x * F.lit(scale)))
+    # beyond 2^53 a double is a whole number already, and floor() ends at the largest long
+    floor = F.transform("vector", lambda y: F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y))
+    rows = saved(scaled.withColumn("vector", floor).withColumn("row", F.monotonically_increasing_id()))
     n = rows.count()
     asked = rows.filter(F.col("vec_id") % every_nth == 0)
     blocks, parts = max(1, -(-n // block_rows)), max(1, -(-asked.count() // query_rows))
-    members = rows.select(spread(F.col("row"), blocks).alias("block"), every(parts).alias("part"), F.lit(0).alias("kind"), "row", "vec_id", "vector")
-    probes = asked.select(every(blocks).alias("block"), spread(F.col("row"), parts).alias("part"), F.lit(1).alias("kind"), "row", "vec_id", "vector")
+    columns = ("block", "part", "kind", "row", "vec_id", "vector", "least")
+    members = rows.select(
+        "*", spread(F.col("row"), blocks).alias("block"), every(parts).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("least")
+    ).select(*columns)
+    probes = asked.select("*", spread(F.col("row"), parts).alias("part"), F.lit(1).alias("kind"))
 
     def work(table: pa.Table) -> pa.RecordBatch | None:
         kind = np.asarray(table.column("kind"))
@@ -93,16 +128,28 @@ def exact_top(
             return None
         numbers, ids, values = np.asarray(table.column("row")), np.asarray(table.column("vec_id")), matrix(table.column("vector"))
         a, b = kind == 0, kind == 1
-        query, found, score = block_top(ids[a], values[a], ids[b], values[b], k)
+        least = [-np.inf if v is None else v for v in table.column("least").filter(pa.array(b)).to_pylist()]
+        query, found, score, _ = block_top(ids[a], values[a], ids[b], values[b], k, least)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(numbers[b][query]), pa.array(ids[b][query]), pa.array(ids[a][found]),
-                pa.array(score.astype(np.int64)), pa.array(numbers[a][found]),
+                pa.array(score), pa.array(numbers[a][found]),
             ],
             names=["query", "query_id", "vec_id", "score", "row"],
         )
 
-    near = each_group(members.unionAll(probes), ["block", "part"], work, "query long, query_id long, vec_id long, score long, row long")
+    def searched(members: DataFrame, probes: DataFrame) -> DataFrame:
+        both = members.unionAll(probes.select(*columns))
+        return each_group(both, ["block", "part"], work, "query long, query_id long, vec_id long, score long, row long")
+
+    none = F.lit(None).cast("long")
+    near = searched(members.filter("block = 0"), probes.withColumns({"block": F.lit(0), "least": none}))
+    if blocks > 1:
+        near = saved(near)
+        reached = near.groupBy("query").agg(F.min("score").alias("least"), F.count("*").alias("n")).filter(F.col("n") >= k)
+        known = probes.join(reached.select(F.col("query").alias("row"), "least"), "row", "left")
+        rest = known.withColumn("block", F.explode(F.sequence(F.lit(1), F.lit(blocks - 1))))
+        near = near.unionAll(searched(members.filter("block > 0"), rest))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     return (
         near.withColumn("rank", F.row_number().over(order))
