@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -178,6 +179,25 @@ def feed_message_keys(t: binding.BoundTables) -> DataFrame:
     )
 
 
+def feed_messages_topics(t: binding.BoundTables) -> DataFrame:
+    """Messages of all four topics; the values are compared by what is read back from their text."""
+    messages = [feed_messages(t(f"bronze.{entity}")).select("topic", "key", "value") for entity in AFTER]
+    said = lambda *paths: F.coalesce(*[F.get_json_object("value", f"$.{p}") for p in paths])
+    return reduce(DataFrame.unionByName, messages).select(
+        "topic",
+        "key",
+        said("entity").alias("entity"),
+        said("op").alias("op"),
+        said("event_ts").alias("event_ts"),
+        said("pk.id").alias("pk_id"),
+        said("source.system").alias("source_system"),
+        said("after.id").alias("after_id"),
+        said("after.status").alias("after_status"),
+        said("after.asset_id", "after.work_order_id").alias("parent_id"),
+        said("after.description", "after.event_type", "after.planned_start").alias("note"),
+    )
+
+
 # --- replica ----------------------------------------------------------------------------------------
 
 
@@ -283,6 +303,7 @@ def _builders() -> dict[str, Callable[[binding.BoundTables], DataFrame]]:
         "bronze_date_slice": bronze_date_slice,
         "snapshot_diff_cdc": snapshot_diff_cdc,
         "feed_messages": feed_message_keys,
+        "feed_messages_topics": feed_messages_topics,
         "gold_asset_availability": _table("gold.asset_availability"),
         "gold_maintenance_history": _table("gold.maintenance_history"),
         "gold_work_order_backlog": _table("gold.work_order_backlog"),

@@ -273,6 +273,10 @@ def _union(*parts: str) -> str:
 
 _GA_JOIN = "FROM asset a LEFT JOIN ga ON ga.asset_id = a.id"
 
+_ORDER_STEP = """CASE step WHEN 0 THEN 'c' ELSE 'u' END,
+            strftime(updated_at[1:26]::TIMESTAMP + to_minutes(step), '%Y-%m-%dT%H:%M:%S.%f+00:00')"""
+
+
 def _order_feed(cte: str, entity: str, first: str, second: str) -> str:
     return f"""SELECT '{entity}' AS entity, CASE step WHEN 0 THEN 'c' ELSE 'u' END AS op,
         strftime(updated_at[1:26]::TIMESTAMP + to_minutes(step), '%Y-%m-%dT%H:%M:%S.%f+00:00') AS event_ts, id AS pk_id,
@@ -330,6 +334,20 @@ QUERIES: dict[str, str] = {
             FROM (SELECT * FROM p WHERE n = 1 AND op <> 'd') p
             FULL JOIN (SELECT * FROM c WHERE op <> 'd') c ON p.pk_id = c.pk_id) WHERE op IS NOT NULL""",
     "feed_messages": "SELECT 'cdc.asset' AS topic, pk_id AS key, op, event_ts FROM ev",
+    "feed_messages_topics": f"""SELECT 'cdc.' || CASE entity WHEN 'Asset' THEN 'asset' WHEN 'WorkRequest' THEN 'work_request'
+            WHEN 'WorkOrder' THEN 'work_order' ELSE 'maintenance_action' END AS topic,
+        pk_id AS key, entity, op, event_ts, pk_id, 'driver' AS source_system, CASE WHEN op <> 'd' THEN pk_id END AS after_id,
+        CASE WHEN op <> 'd' THEN status END AS after_status, CASE WHEN op <> 'd' THEN parent END AS parent_id,
+        CASE WHEN op <> 'd' THEN note END AS note
+        FROM (SELECT 'Asset' AS entity, op, event_ts, pk_id, NULL AS status, NULL AS parent, event_type AS note FROM ev
+        UNION ALL SELECT 'MaintenanceAction', op, event_ts, pk_id, status, 'WO' || l_orderkey,
+            CASE l_returnflag WHEN 'A' THEN 'Inspect' WHEN 'N' THEN 'Replace' END FROM feed
+        UNION ALL SELECT 'WorkRequest', {_ORDER_STEP}, id, ['open', 'approved', 'closed'][step + 1], asset_id, description
+            FROM wr, (VALUES (0), (1), (2)) s(step) WHERE step <= CASE status WHEN 'open' THEN 0 WHEN 'approved' THEN 1 ELSE 2 END
+        UNION ALL SELECT 'WorkOrder', {_ORDER_STEP}, id, ['planned', 'in_progress', 'completed'][step + 1], asset_id,
+            planned_start
+            FROM wo, (VALUES (0), (1), (2)) s(step)
+            WHERE step <= CASE status WHEN 'planned' THEN 0 WHEN 'in_progress' THEN 1 ELSE 2 END)""",
     # --- maintenance model ------------------------------------------------------------------------
     "concept_product_instance": "SELECT * FROM pi",
     "concept_functional_failure": "SELECT * FROM ff",
