@@ -284,7 +284,8 @@ def action_snapshot(events: DataFrame) -> DataFrame:
 class BoundTables:
     """Every layer table, derived lazily from one folder of driver tables; call it with a table name."""
 
-    _schemas: dict[str, StructType] = {}  # by path, so that a process reads each file's footer once
+    # by path and its last change, so that a process reads each file's footer once and a replaced file's again
+    _schemas: dict[tuple[str, int], StructType] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str, stamp: str = RUN_STAMP):
         self.spark = spark
@@ -292,12 +293,18 @@ class BoundTables:
         self.stamp = stamp
         self._read: dict[str, DataFrame] = {}
 
+    def _changed(self, path: str) -> int:
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = jpath.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return files.getFileStatus(jpath).getModificationTime()
+
     def raw(self, name: str) -> DataFrame:
         if name not in self._read:
             path = f"{self.sf_dir}/{name}.parquet"
-            if path not in self._schemas:
-                self._schemas[path] = self.spark.read.parquet(path).schema
-            self._read[name] = self.spark.read.schema(self._schemas[path]).parquet(path)
+            known = path, self._changed(path)
+            if known not in self._schemas:
+                self._schemas[known] = self.spark.read.parquet(path).schema
+            self._read[name] = self.spark.read.schema(self._schemas[known]).parquet(path)
         return self._read[name]
 
     def __call__(self, name: str) -> DataFrame:
