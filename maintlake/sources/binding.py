@@ -34,17 +34,20 @@ EVENT_AFTER = StructType(
 )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Let every core take part where a small input is read by fewer tasks than there are cores.
+#: Rows of a source that one task turns into change events: with their JSON some hundred megabytes.
+ROWS_PER_TASK = 200_000
 
-    The test tables are single files with one row group each, which one task reads; building and
-    parsing JSON behind such a scan would run on one core. Larger inputs have more splits than that
-    and pass through untouched.
+
+def spread(df: DataFrame, rows: int = 0) -> DataFrame:
+    """Deal rows evenly to every core, or to as many tasks as ``rows`` of them need, so that no task grows with the input.
+
+    The splits of a scan say nothing about that: a row group is read by one task however many splits its file has, and
+    building and sorting JSON behind such a scan would run on few cores, with all their rows in memory. What is
+    dealt here are the narrow rows before they become JSON.
     """
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK)))
 
 
 def _text(prefix: str, *parts: str) -> Column:
@@ -286,6 +289,7 @@ class BoundTables:
 
     # by path and its last change, so that a process reads each file's footer once and a replaced file's again
     _schemas: dict[tuple[str, int], StructType] = {}
+    _counts: dict[tuple[str, int], int] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str, stamp: str = RUN_STAMP):
         self.spark = spark
@@ -307,6 +311,14 @@ class BoundTables:
             self._read[name] = self.spark.read.schema(self._schemas[known]).parquet(path)
         return self._read[name]
 
+    def spread(self, name: str) -> DataFrame:
+        """A driver table dealt evenly to tasks; its rows are counted from the footers, once a process and file."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        known = path, self._changed(path)
+        if known not in self._counts:
+            self._counts[known] = self.raw(name).count()
+        return spread(self.raw(name), self._counts[known])
+
     def __call__(self, name: str) -> DataFrame:
         if name not in self._read:
             namespace, table = name.split(".")
@@ -321,16 +333,16 @@ class BoundTables:
     @cached_property
     def _bronze(self):
         return {
-            "asset": lambda: asset_feed(spread(self.raw("events"))),
-            "maintenance_action": lambda: action_feed(spread(self.raw("lineitem"))),
+            "asset": lambda: asset_feed(self.spread("events")),
+            "maintenance_action": lambda: action_feed(self.spread("lineitem")),
             "work_request": lambda: _feed(
-                work_request_events(spread(self.raw("orders"))), "WorkRequest", AFTER["work_request"].names
+                work_request_events(self.spread("orders")), "WorkRequest", AFTER["work_request"].names
             ),
             "work_order": lambda: _feed(
-                work_order_events(spread(self.raw("orders"))), "WorkOrder", AFTER["work_order"].names
+                work_order_events(self.spread("orders")), "WorkOrder", AFTER["work_order"].names
             ),
             "registered_asset": lambda: _feed(
-                asset_events(self.raw("customer"), self.raw("nation")), "Asset", AFTER["asset"].names
+                asset_events(self.spread("customer"), self.raw("nation")), "Asset", AFTER["asset"].names
             ),
         }
 
