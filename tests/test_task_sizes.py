@@ -7,6 +7,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registered
+from conftest import plan_of
 from maintlake.sources import binding
 
 
@@ -41,3 +43,8 @@ def test_no_task_gets_more_events_than_its_share(spark, tmp_path, monkeypatch, f
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sum(counts) == 1200 * per_order
     assert len(counts) >= 20 and max(counts) <= 3 * 2 * 50
+
+
+def test_messages_are_read_back_in_one_pass(spark):
+    plan = plan_of(registered.queries()["feed_messages_topics"](spark, "/root/testdata/sf0.001"), "simple")
+    assert plan.count("from_json") == 4 and "$.after" not in plan
