@@ -3,8 +3,11 @@
 Every block of rows has one list a dimension, sorted by component. A query reads the list of a dimension from its top
 where its own component is positive, from its bottom where it is negative (where it is 0, not at all), all in step, one
 slice after the other. A row's score is at least the sum of what was read of it plus, for each list where it wasn't met
-yet, that list's far end, and at most the same with the last value read. Rows whose upper bound is under the k-th best lower
-bound are outsiders. Reading stops when few others are left; their scores are then resolved from their rows.
+yet, that list's far end, and at most the same with the last value read. Rows whose upper bound is under the least lower
+bound of any k rows are outsiders. Reading stops when few others are left; their scores are then resolved from their rows.
+
+Many queries read a block's lists together, so that a slice is read once for them: their bounds are matrix products of
+their components with what is known of the rows.
 
 One block is searched first: its k-th best score is a lower bound for all other blocks, so that most of their rows are
 outsiders from the start. Sums are whole numbers, in doubles while all are sure to stay below 2^53, else in Python's integers.
@@ -22,10 +25,12 @@ from maintlake.llm.vectors import every, matrix, spread, usable
 
 #: Slices a list is read in; bounds are compared after each.
 SLICES = 16
+#: Bounds that are held at once, of the queries that read a block's lists in step.
+BOUNDS = 1 << 20
 
 
 class SortedLists:
-    """The lists of a block, one a dimension, and the reading of them for one query at a time."""
+    """The lists of a block, one a dimension, and the reading of them for many queries in step."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         self.ids, self.rows = ids, rows
@@ -34,38 +39,53 @@ class SortedLists:
         #: Entries read so far, for all queries.
         self.entries = 0
 
-    def top(self, own: int, query: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers and scores of the ``k`` best rows with other ids that reach ``least``, equal scores to smaller ids."""
-        n = self.ids.size
-        used = np.flatnonzero(query)
-        weights, falling = query[used], query[used] > 0
-        far = weights * np.where(falling, self.values[0, used], self.values[-1, used])
-        dtype = self.rows.dtype
-        total, unread = np.zeros(n, dtype), np.ones((n, used.size), bool)
-        others = self.ids != own
-        inside = np.flatnonzero(others)
+    def met(self, known: np.ndarray, start: int, end: int, last: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Read entries ``start`` to ``end`` of every list: marks them in ``known``, and gives each component's values next to
+        and furthest from the list's beginning: its own if it was met, else the last one read and the list's other end."""
+        known[self.order[start:end], np.arange(known.shape[1])] = True
+        return np.where(known, self.rows, last), np.where(known, self.rows, far)
+
+    def top(self, own: np.ndarray, queries: np.ndarray, k: int, least: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query row numbers and scores of the ``k`` best rows with other ids that reach its ``least``, equal scores
+        to smaller ids.
+
+        What is known of the rows after a slice is the same for all queries that read a list from the same end: the
+        bounds of all queries and rows are products of the weights with it.
+        """
+        n, dims = self.rows.shape
+        falling, rising = np.where(queries > 0, queries, 0), np.where(queries < 0, queries, 0)
+        bound = np.array(least, dtype=self.rows.dtype)
+        inside: list[np.ndarray] = [np.flatnonzero(self.ids != i) for i in own]
+        used = np.array([np.count_nonzero(q) for q in queries])
+        reading = np.array([q for q in range(own.size) if used[q] and inside[q].size > 4 * k], int)
+        own_rows = self.ids == own[:, None]
+        above, below = np.zeros((n, dims), bool), np.zeros((n, dims), bool)
         edges = np.unique(np.linspace(0, n, SLICES + 1).astype(int))
         for start, end in zip(edges[:-1], edges[1:]):
-            if not used.size or inside.size <= 4 * k:
+            if not reading.size:
                 break
-            met = np.where(falling, self.order[n - end : n - start, used][::-1], self.order[start:end, used])
-            worth = weights * np.where(falling, self.values[n - end : n - start, used][::-1], self.values[start:end, used])
-            self.entries += met.size
-            if dtype == object:
-                np.add.at(total, met, worth)
-            else:
-                total += np.bincount(met.ravel(), worth.ravel(), n)
-            unread[met, np.arange(used.size)] = False
-            missing = unread[inside].astype(dtype)
-            upper = total[inside] + missing @ worth[-1]
-            bound = least
-            if inside.size > k:
-                lower = total[inside] + missing @ far
-                bound = max(bound, np.partition(lower, inside.size - k)[inside.size - k])
-            inside = inside[upper >= bound]
-        score = self.rows[inside] @ query if inside.size else np.zeros(0, dtype)
-        best = sorted(range(inside.size), key=lambda i: (-score[i], self.ids[inside[i]]))[:k]
-        return inside[best], score[best]
+            high, high_far = self.met(above, n - end, n - start, self.values[n - end], self.values[0])
+            low, low_far = self.met(below, start, end, self.values[end - 1], self.values[-1])
+            self.entries += int(used[reading].sum()) * int(end - start)
+            down, up = falling[reading], rising[reading]
+            upper = down @ high.T + up @ low.T
+            upper[own_rows[reading]] = -np.inf
+            # any k rows bound the k-th best score from below by their least lower bound
+            chosen = np.argpartition(upper, n - k, axis=1)[:, n - k :]
+            lower = (down[:, None, :] * high_far[chosen] + up[:, None, :] * low_far[chosen]).sum(axis=2)
+            bound[reading] = np.maximum(bound[reading], lower.min(axis=1))
+            left = upper >= bound[reading][:, None]
+            left &= ~own_rows[reading]
+            ended = (left.sum(axis=1) <= 4 * k) | (end == n)
+            for i in np.flatnonzero(ended):
+                inside[reading[i]] = np.flatnonzero(left[i])
+            reading = reading[~ended]
+        found = []
+        for q, rows in enumerate(inside):
+            score = self.rows[rows] @ queries[q]
+            best = sorted(range(rows.size), key=lambda i: (-score[i], self.ids[rows[i]]))[:k]
+            found.append((rows[best], score[best]))
+        return found
 
 
 def whole(score) -> int:
@@ -81,12 +101,15 @@ def block_top(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries:
         exactly = np.frompyfunc(int, 1, 1)
         rows, queries = exactly(rows), exactly(queries)
     lists = SortedLists(ids, rows)
+    least = [-np.inf] * query_ids.size if least is None else least
+    together = max(1, BOUNDS // max(ids.size, k * rows.shape[1]))
     asked, found, scores = [], [], []
-    for q in range(query_ids.size):
-        best, score = lists.top(query_ids[q], queries[q], k, -np.inf if least is None else least[q])
-        asked += [q] * best.size
-        found += best.tolist()
-        scores += [whole(s) for s in score]
+    for start in range(0, query_ids.size, together):
+        some = slice(start, start + together)
+        for q, (best, score) in enumerate(lists.top(query_ids[some], queries[some], k, least[some]), start):
+            asked += [q] * best.size
+            found += best.tolist()
+            scores += [whole(s) for s in score]
     return np.array(asked, int), np.array(found, int), np.array(scores, np.int64), lists.entries
 
 
