@@ -24,58 +24,54 @@ from maintlake.llm.links import Groups, components, each_group, in_blocks
 from maintlake.llm.shared import NULL_ID, known_id, require, saved
 from maintlake.llm.textops import U, Rolling, digests, mix, text_blocks
 
-_SPACES = (9, 10, 11, 12, 13, 32)
+#: Bytes other than spaces, which never occur inside another character.
+_INK = np.ones(256, bool)
+_INK[[9, 10, 11, 12, 13, 32]] = False
 #: Letters are counted by their code points modulo this.
 _CELLS = 32
 
 
 @dataclass
 class Lines:
-    """Lines that aren't blank, of consecutive texts, as stretches of code points."""
+    """Lines that aren't blank, of consecutive texts, as stretches of bytes."""
 
     data: np.ndarray
-    points: np.ndarray
     owner: np.ndarray
     number: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
 
-    def bytes_at(self) -> np.ndarray:
-        """Where each code point begins in ``data``."""
-        return np.append(np.flatnonzero((self.data & 0xC0) != 0x80), self.data.size)
+    def characters(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The code points of all texts, and the lines as stretches of them."""
+        points = np.frombuffer(self.data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        at = np.append(0, np.cumsum((self.data & 0xC0) != 0x80))
+        return points, at[self.starts], at[self.ends]
 
     def digests(self) -> np.ndarray:
-        at = self.bytes_at()
-        return digests(self.data, at[self.starts], at[self.ends]).view(np.int64)
+        return digests(self.data, self.starts, self.ends).view(np.int64)
 
     def texts(self, which: np.ndarray) -> pa.Array:
-        at = self.bytes_at()
-        starts, sizes = at[self.starts[which]], at[self.ends[which]] - at[self.starts[which]]
-        stops = np.cumsum(sizes)
-        own = self.data[np.repeat(starts - (stops - sizes), sizes) + np.arange(int(stops[-1]) if stops.size else 0)]
-        ends = np.append(0, stops).astype(np.int32)
-        return pa.StringArray.from_buffers(which.size, pa.py_buffer(ends), pa.py_buffer(own))
-
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the lines, and where each occurs first."""
-        return np.unique(self.digests()[:, 0], return_index=True)
+        # lines and what lies between them take turns
+        edges = np.column_stack([self.starts, self.ends]).ravel().astype(np.int64)
+        if not edges.size:
+            return pa.array([], pa.string())
+        all_texts = pa.LargeStringArray.from_buffers(edges.size - 1, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(self.data)))
+        return all_texts.take(pa.array(2 * which)).cast(pa.string())
 
 
 def find_lines(data: np.ndarray, offsets: np.ndarray) -> Lines:
-    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
-    at = np.append(0, np.cumsum((data & 0xC0) != 0x80))[offsets]
-    breaks = np.flatnonzero(points == 10)
-    full = np.flatnonzero(np.diff(at))
-    owner = np.append(full, np.searchsorted(at, breaks, "right") - 1)
-    starts = np.append(at[:-1][full], breaks + 1)
+    breaks = np.flatnonzero(data == 10)
+    full = np.flatnonzero(np.diff(offsets))
+    owner = np.append(full, np.searchsorted(offsets, breaks, "right") - 1)
+    starts = np.append(offsets[:-1][full], breaks + 1)
     order = np.lexsort((starts, owner))
     owner, starts = owner[order], starts[order]
     last = np.append(owner[1:] != owner[:-1], True) if owner.size else np.zeros(0, bool)
-    ends = np.where(last, at[1:][owner], np.append(starts[1:], 0) - 1)
+    ends = np.where(last, offsets[1:][owner], np.append(starts[1:], 0) - 1)
     number = np.arange(owner.size) - np.searchsorted(owner, owner)
-    ink = np.append(0, np.cumsum(~np.isin(points, _SPACES)))
+    ink = np.append(0, np.cumsum(_INK[data]))
     solid = ink[ends] > ink[starts]
-    return Lines(data, points, owner[solid], number[solid], starts[solid], ends[solid])
+    return Lines(data, owner[solid], number[solid], starts[solid], ends[solid])
 
 
 def segments(length: np.ndarray, parts: int, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,8 +155,9 @@ def lined(docs: DataFrame) -> DataFrame:
     return docs.select(known_id().alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
 
 
-def _places(texts: DataFrame) -> DataFrame:
-    """``node, check, doc_id, text_key, line`` of every line that isn't blank."""
+def _places(texts: DataFrame, edits: int, least: int) -> DataFrame:
+    """``node, check, doc_id, text_key, line, keys`` of every line that isn't blank; ``keys``, null otherwise, of lines of
+    ``least`` characters or more, once for equal lines of a block of texts."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,30 +165,22 @@ def _places(texts: DataFrame) -> DataFrame:
             for first, _, data, offsets in text_blocks(batch.column(2)):
                 x = find_lines(data, offsets)
                 one, two = x.digests().T
+                points, starts, ends = x.characters()
+                fresh = np.unique(one, return_index=True)[1]
+                fresh = np.sort(fresh[ends[fresh] - starts[fresh] >= least])
+                line, key = line_keys(Rolling(points), starts[fresh], ends[fresh], edits)
+                line = fresh[line]
+                counts = np.bincount(line, minlength=one.size)
+                stops = np.append(0, np.cumsum(counts)).astype(np.int32)
+                key = key[np.argsort(line, kind="stable")].view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(stops), pa.array(key), mask=pa.array(counts == 0))
+                columns = [pa.array(c) for c in (one, two, ids[first + x.owner], keys[first + x.owner], x.number)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (one, two, ids[first + x.owner], keys[first + x.owner], x.number)],
-                    names=["node", "check", "doc_id", "text_key", "line"],
-                )
-
-    return texts.mapInArrow(rows, "node long, check long, doc_id long, text_key long, line long")
-
-
-def _keys(texts: DataFrame, edits: int, least: int) -> DataFrame:
-    """``token, node`` of lines of ``least`` characters or more, once for equal lines of a block of texts."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, offsets in text_blocks(batch.column(0)):
-                x = find_lines(data, offsets)
-                node, first = x.distinct()
-                long = x.ends[first] - x.starts[first] >= least
-                first, node = first[long], node[long]
-                line, key = line_keys(Rolling(x.points), x.starts[first], x.ends[first], edits)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(node[line])], names=["token", "node"]
+                    [*columns, lists], names=["node", "check", "doc_id", "text_key", "line", "keys"]
                 )
 
-    return texts.select("text").mapInArrow(rows, "token long, node long")
+    schema = "node long, check long, doc_id long, text_key long, line long, keys array<long>"
+    return texts.mapInArrow(rows, schema)
 
 
 def _wanted_lines(texts: DataFrame) -> DataFrame:
@@ -201,7 +190,7 @@ def _wanted_lines(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for _, _, data, offsets in text_blocks(batch.column(0)):
                 x = find_lines(data, offsets)
-                node, first = x.distinct()
+                node, first = np.unique(x.digests()[:, 0], return_index=True)
                 yield pa.RecordBatch.from_arrays([pa.array(node), x.texts(first)], names=["node", "value"])
 
     return texts.select("text").mapInArrow(rows, "node long, value string")
@@ -252,9 +241,13 @@ def compare(table: pa.Table, edits: int) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def line_links(texts: DataFrame, edits: int, least: int, block_chars: int = 2_000_000) -> DataFrame:
-    """Links ``a, b`` between different lines: exact up to connectedness."""
-    keys = _keys(texts, edits, least)
+def line_links(
+    texts: DataFrame, edits: int, least: int, block_chars: int = 2_000_000, places: DataFrame | None = None
+) -> DataFrame:
+    """Links ``a, b`` between different lines: exact up to connectedness. ``places``: those of ``texts``, if saved already."""
+    if places is None:
+        places = saved(_places(texts, edits, least))
+    keys = places.select(F.explode("keys").alias("token"), "node")
     hubs = keys.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("other")).filter("hub <> other")
     hubs = saved(hubs.select("token", "hub"))
     level = possible(hubs.select(F.col("token").alias("key")))
@@ -280,8 +273,9 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20) -> DataFram
     if least < 2 * edits + 2:
         raise ValueError("near copies need lines of at least 2 * edits + 2 characters")
     texts = lined(docs)
-    found = components(line_links(texts, edits, least))
-    places = _places(texts)
+    # every text is taken apart once; its lines' keys and digests are read again from here
+    places = saved(_places(texts, edits, least))
+    found = components(line_links(texts, edits, least, places=places))
     place = F.struct("doc_id", "text_key", "line")
     first = places.groupBy("node", "check").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
     # a line seen once and without near copies stays: most lines end here
