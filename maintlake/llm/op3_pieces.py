@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from maintlake.llm.shared import require
+from maintlake.llm.shared import in_small_batches, require
 
 MARK = "▁"
 #: Parts of a marked text that are encoded on their own: marks with the letters, or the other characters, after them.
@@ -241,6 +241,7 @@ def encode_documents(docs: DataFrame, model_file: str, text: str = "text", emit_
     Repeated rows give repeated rows. Columns of ``docs`` with the names of result columns are replaced.
     """
     require(docs, text)
+    in_small_batches(docs.sparkSession)
     vocabulary = read_vocabulary(model_file)
     key = hash((model_file, len(vocabulary.pieces)))
     made = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from maintlake.llm.shared import require, saved
+from maintlake.llm.shared import in_small_batches, require, saved
 from maintlake.llm.textops import U, find_words, text_blocks
 
 # classes of bytes: lower, upper, digit, space, line end, end of sentence, comma, other ASCII sign, part of a wider character
@@ -68,9 +68,13 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def with_statistics(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and ``stats``, an array of doubles."""
-    source = docs.select(F.col(f"`{text}`").alias("__text"), *(F.col(f"`{c}`") for c in keep))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:])
+    """Columns ``keep`` of ``docs`` and ``stats``, an array of doubles. A text that is kept travels once."""
+    in_small_batches(docs.sparkSession)
+    others = [c for c in keep if c != text]
+    source = docs.select(*(F.col(f"`{c}`") for c in [text, *others]))
+    places = [0 if c == text else 1 + others.index(c) for c in keep]
+    kept = [source.schema.fields[i] for i in places]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,7 +82,7 @@ def with_statistics(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
                 part = batch.slice(first, last - first)
                 flat = statistics(data, offsets)
                 stats = pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel()), flat.shape[1]).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], stats], names=[*batch.schema.names[1:], "stats"])
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in places), stats], names=[*keep, "stats"])
 
     return source.mapInArrow(rows, f"{fields}, stats array<double>" if fields else "stats array<double>")
 
