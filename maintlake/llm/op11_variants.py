@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from maintlake.llm.links import each_group, in_blocks
-from maintlake.llm.shared import require, saved
+from maintlake.llm.shared import require, saved, unsent
 
 #: Runs of ASCII and Latin-1 letters (with the two signs among the latter).
 RUN = "[A-Za-z\\u00C0-\\u00FF]+"
@@ -140,7 +140,8 @@ def near_words(words: DataFrame, parts: int, block_words: int) -> DataFrame:
     numbered = saved(words.withColumn("node", F.monotonically_increasing_id()))
     signed = signatures(numbered, parts)
     shared = saved(signed.groupBy("family").agg(F.count("*").alias("n")).filter("n > 1").select("family"))
-    members = signed.join(shared, "family").withColumn("weight", F.lit(1))
+    # 21 rows a word come out of Arrow batches, and Spark takes them for one
+    members = unsent(signed).join(unsent(shared), "family").withColumn("weight", F.lit(1))
     spread = in_blocks(members, "weight", block_words).drop("weight")
     return each_group(spread, ["family", "left", "right"], lambda t: near_pairs(t, parts), "word string, near string, near_n long")
 
@@ -150,7 +151,7 @@ def last_forms(links: DataFrame) -> DataFrame:
     now = saved(links.select("word", F.col("form").alias("root")))
     while True:
         further = now.select(F.col("word").alias("at"), F.col("root").alias("next"))
-        step = now.join(further, now["root"] == further["at"], "left")
+        step = now.join(unsent(further), now["root"] == further["at"], "left")
         after = saved(step.select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
         if after.filter("moved").isEmpty():
             return after.select("word", "root")
@@ -185,4 +186,4 @@ def spelling_variants(
         )
     )
     roots = last_forms(joined.filter("form IS NOT NULL"))
-    return joined.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return joined.join(unsent(roots), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

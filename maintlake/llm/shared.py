@@ -36,6 +36,15 @@ def saved(df: DataFrame, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unsent(df: DataFrame) -> DataFrame:
+    """``df`` for a join that shuffles it, however small Spark takes it to be.
+
+    Compressed files, exploded lists and rows made in Arrow batches are larger than they are taken for, and a table that is
+    sent to all executors passes through the driver.
+    """
+    return df.hint("merge")
+
+
 #: Bytes of rows that go to a Python worker, or come back, at once.
 BATCH_BYTES = 8 << 20
 
