@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from maintlake.llm.bloom import possible, thinned
 from maintlake.llm.links import Groups, components, each_group, in_blocks
-from maintlake.llm.shared import NULL_ID, known_id, require, saved
+from maintlake.llm.shared import NULL_ID, dropped, known_id, require, saved
 from maintlake.llm.textops import U, Rolling, digests, mix, text_blocks
 
 #: Bytes other than spaces, which never occur inside another character.
@@ -252,10 +252,13 @@ def line_links(
     hubs = saved(hubs.select("token", "hub"))
     level = possible(hubs.select(F.col("token").alias("key")))
     stars = thinned(keys, F.col("token"), level).join(hubs, "token").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    family = components(stars).withColumnRenamed("component", "family")
+    found = components(stars)
+    dropped(hubs, *([level.words] if level else []))
+    family = found.withColumnRenamed("component", "family")
     level = possible(family.select(F.col("node").alias("key")))
     members = thinned(_wanted_lines(texts), F.col("node"), level).join(family, "node").groupBy("node", "family").agg(F.min("value").alias("value"))
     members = saved(members.withColumn("chars", F.length("value")))
+    dropped(found, *([level.words] if level else []))
     spread = in_blocks(members.select("family", "node", "chars"), "chars", block_chars).drop("chars")
     blocks = spread.join(members.select("node", "value"), "node")
     return each_group(blocks, ["family", "left", "right"], lambda t: compare(t, edits), "a long, b long")
@@ -285,13 +288,15 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 20) -> DataFram
     near = met.join(leaders, "component").select("node", "check", F.col("leader").alias("first"))
     first = saved(near.unionAll(met.filter("component IS NULL").select("node", "check", "first")))
     level = possible(first.select(F.col("node").alias("key")))
-    gone = (
+    gone = saved(
         thinned(places, F.col("node"), level)
         .join(first, ["node", "check"])
         .filter(F.col("first") != place)
         .groupBy("doc_id", "text_key")
         .agg(F.sort_array(F.collect_set("line")).alias("removed"))
     )
+    # the lines' keys are most of what is stored here
+    dropped(places, found, met, first, *([level.words] if level else []))
     breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     n_lines = F.when(F.octet_length("text") > 0, breaks + 1).otherwise(0).cast("long")
     counts = texts.select("doc_id", "text_key", n_lines.alias("n_lines"))

@@ -5,8 +5,10 @@ import random
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
-from maintlake.llm import op10_jaccard
+import corpus_pipeline
+from maintlake.llm import op2_lines, op10_jaccard
 from maintlake.llm.shared import dropped, saved, scratch_dir
 
 
@@ -50,3 +52,19 @@ def test_near_duplicates_in_slices_keep_no_prefixes(spark, left, slice_rows):
     assert not any({"prefix", "token", "all", "places"} & set(c) for c in left())
     want = {(i, 3 * (i // 3) if t else None) for i, t in texts()}
     assert {(r.doc_id, r.component_id) for r in rows.collect()} == want
+
+def test_line_dedup_keeps_no_keys_of_lines(spark, left):
+    line = "a line of more than twenty characters"
+    docs = spark.createDataFrame([(1, f"{line}\nü"), (2, f"{line}\n\n日本\n{line[:-1]}"), (3, None)], "doc_id long, text string")
+    out = op2_lines.repeated_lines(docs)
+    assert not any({"keys", "token"} & set(c) for c in left())
+    assert {r.doc_id: r.removed for r in out.collect()} == {1: [], 2: [0, 3], 3: []}
+
+
+def test_what_a_stage_has_read_goes(spark, left, monkeypatch, tmp_path):
+    spark.range(6).selectExpr("id AS doc_id", "'a b' AS text").write.parquet(f"{tmp_path}/documents.parquet")
+    stage = lambda more: lambda spark, docs, sf_dir: docs.withColumn(more, F.lit(1)).filter("doc_id > 1")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(c, stage(c)) for c in "abcd"])
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert left() == [["doc_id", "text", "a", "b", "c"]]
+    assert out.columns == ["doc_id", "text", "a", "b", "c", "d"] and out.count() == 4
